@@ -96,7 +96,7 @@ def split_texts(
         (F.col("_c.at") - F.length("_before")).alias("start"),
         (F.col("_c.at") + F.length(core)).alias("end"),
         F.when(F.col("_i") == F.col("_n") - 1, F.lit("end"))
-        .when(core.rlike(r"(?s)[\n\r  \x85]\z"), F.lit("line"))
+        .when(core.rlike(rf"[{LINES}]\z"), F.lit("line"))
         .when(core.rlike(rf"(?sU)[{ENDS}]\s*\z"), F.lit("sentence"))
         .when(core.rlike(r"(?sU)\s\z"), F.lit("word"))
         .otherwise(F.lit("character"))
