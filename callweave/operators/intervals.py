@@ -208,12 +208,14 @@ def continuous_periods(df: DataFrame, keys: Sequence[str], gap: float = 0.0) ->
     the island that is still open where a partition begins, and the islands it reaches are joined to it.
 
     Null edges, NaN and end <= start are no intervals. Null keys are an entity of their own. Repeated rows change
-    nothing, other columns are dropped, an empty table gives an empty result. Entities may have any size.
+    nothing, other columns are dropped, an empty table gives an empty result. Entities may have any size. Keys may have any names but kind, start and end.
     """
-    keys = list(keys)
-    slim = _valid(df.select(*keys, "start", "end"))
+    given = list(keys)
+    # keys get names of their own, so that they may be called as they like
+    keys = [f"k{i}" for i in range(len(given))]
+    slim = _valid(df.select(*(F.col(g).alias(k) for g, k in zip(given, keys)), "start", "end"))
     fields = {f.name: f.dataType.simpleString() for f in slim.schema.fields}
-    named = ", ".join(f"`{k}` {fields[k]}" for k in keys)
+    named = ", ".join(f"{k} {fields[k]}" for k in keys)
     number = fields["start"]
     merged = slim.mapInArrow(_premerged(keys, gap), f"{named}, start {number}, end {number}")
     ordered = merged.repartitionByRange(*keys, "start").sortWithinPartitions(*keys, "start", "end")
@@ -254,4 +256,4 @@ def continuous_periods(df: DataFrame, keys: Sequence[str], gap: float = 0.0) ->
     border = labelled.where("border").groupBy(*keys, "start").agg(F.max("end").alias("end"))
     gaps = labelled.where(F.col("before").isNotNull()).select(*keys, F.lit("gap").alias("kind"), F.col("before").alias("start"), F.col("start").alias("end"))
     periods = inner.unionByName(border.select(*inner.columns)).select(*keys, F.lit("period").alias("kind"), "start", "end")
-    return periods.unionByName(gaps)
+    return periods.unionByName(gaps).select(*(F.col(k).alias(g) for g, k in zip(given, keys)), "kind", "start", "end")

@@ -7,22 +7,24 @@ within a run only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import text as T
 from ..functions.numbers import srt_clock
-from .ordered import BLOCK, in_blocks, last_before, running_sum
+from .ordered import BLOCK, cumulative, in_blocks
 
 BLOCK_ROWS = 50_000
 
 
-def _runs(chunks: DataFrame, breaks: Column, order: list[str]) -> DataFrame:
-    """Adds `_run`, a number that grows where `breaks` (over `_prev`, the row before) is true."""
-    rows = last_before(in_blocks(chunks, F.floor(F.col("pos") / BLOCK_ROWS)), ["file"], order, F.struct("end", *(["speaker"] if "speaker" in chunks.columns else []), F.lit(1).alias("is")), "_prev")
-    opens = F.when(F.col("_prev").isNull() | breaks, F.lit(1)).otherwise(F.lit(0))
-    return running_sum(rows, ["file"], order, opens, "_run").drop("_prev", BLOCK)
+def _runs(chunks: DataFrame, breaks: Callable[[Column, Column], Column], order: list[str]) -> DataFrame:
+    """Adds `_run`, a number that grows where breaks(row, before) is true."""
+    fields = ["start", "end", *(["speaker"] if "speaker" in chunks.columns else [])]
+    opens = lambda row, before: F.when(before.isNull() | breaks(row, before), F.lit(1)).otherwise(F.lit(0))
+    return cumulative(in_blocks(chunks, F.floor(F.col("pos") / BLOCK_ROWS)), ["file"], order, fields, opens, "_run", "_opens").drop("_opens", BLOCK)
 
 
 def merge_lines(chunks: DataFrame, config: Config = DEFAULT) -> DataFrame:
@@ -32,9 +34,11 @@ def merge_lines(chunks: DataFrame, config: Config = DEFAULT) -> DataFrame:
     gap behind the end of the chunk before, or if the line would grow beyond max_chars (0: no limit).
     """
     spoken = "speaker" in chunks.columns
-    breaks = F.col("start") - F.col("_prev.end") > F.lit(config.speaker_merge_max_gap)
-    if spoken:
-        breaks = breaks | ~F.col("speaker").eqNullSafe(F.col("_prev.speaker"))
+
+    def breaks(row: Column, before: Column) -> Column:
+        pause = row["start"] - before["end"] > F.lit(config.speaker_merge_max_gap)
+        return pause | ~row["speaker"].eqNullSafe(before["speaker"]) if spoken else pause
+
     most = config.speaker_merge_max_chars
     item = F.struct("pos", "start", "end", "text")
     keys = ["file", "_run", *(["speaker"] if spoken else [])]
@@ -73,8 +77,7 @@ def word_turns(words: DataFrame, config: Config = DEFAULT) -> DataFrame:
 
     A turn ends where its last word ends, also if an earlier word ended later. A null speaker is a speaker.
     """
-    breaks = ~F.col("speaker").eqNullSafe(F.col("_prev.speaker")) | (F.col("start") - F.col("_prev.end") > config.turn_gap_ms)
-    runs = _runs(words, breaks, ["pos"])
+    runs = _runs(words, lambda row, before: ~row["speaker"].eqNullSafe(before["speaker"]) | (row["start"] - before["end"] > config.turn_gap_ms), ["pos"])
     return (
         runs.groupBy("file", "_run")
         .agg(F.first("speaker").alias("speaker"), F.min_by("start", "pos").alias("start"), F.max_by("end", "pos").alias("end"), F.transform(F.sort_array(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]).alias("words"))

@@ -7,7 +7,7 @@ Blocks are hashed by (keys, block), which the join with the summaries keeps; onl
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,44 +19,50 @@ def in_blocks(df: DataFrame, block: Column) -> DataFrame:
     return df.withColumn(BLOCK, block.cast("long"))
 
 
-def _carried(df: DataFrame, keys: Sequence[str], value: Column, forward: bool, running: bool) -> DataFrame:
-    """(keys, block, _carry): the aggregate of a block, carried over the blocks before it (after it)."""
-    window = Window.partitionBy(*keys).orderBy(F.col(BLOCK).asc() if forward else F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*keys, BLOCK).agg(value.alias("_own"))
-    carry = F.sum("_own").over(window) if running else F.last("_own", ignorenulls=True).over(window)
-    return sums.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col(BLOCK).alias("_kb"), carry.alias("_carry"))
+def inside(keys: Sequence[str], *order: Column | str):
+    """The window of the rows of a block."""
+    return Window.partitionBy(*keys, BLOCK).orderBy(*order)
 
 
-def _with_carry(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
-    same = F.col(BLOCK) == F.col("_kb")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return df.join(carry, same, "left").drop("_kb", *(f"_k{i}" for i in range(len(keys))))
+def across(keys: Sequence[str], forward: bool = True):
+    """The window of the summaries of a series."""
+    return Window.partitionBy(*keys).orderBy(F.col(BLOCK).asc() if forward else F.col(BLOCK).desc())
 
 
-def last_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Adds the last non-null value of the rows before."""
-    df = df.withColumn("_v", value)
-    window = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    carry = _carried(df, keys, F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))), True, False)
-    local = df.withColumn("_local", F.last("_v", ignorenulls=True).over(window))
-    return _with_carry(local, carry, keys).withColumn(name, F.coalesce("_local", "_carry")).drop("_v", "_local", "_carry")
+def with_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str], *columns: Column) -> DataFrame:
+    """df with columns of its block's summary."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    right = summary.select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.col(BLOCK).alias("_kb"), *columns)
+    same = F.col(BLOCK) == F.col("_kb")
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return df.join(right, same, "left").drop("_kb", *names)
 
 
 def first_after(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
     """Adds the first non-null value of the rows behind."""
     df = df.withColumn("_v", value)
     # a frame that ends with the series is evaluated anew for each row; one that begins with it in reverse order isn't
-    window = Window.partitionBy(*keys, BLOCK).orderBy(*(F.col(o).desc() for o in order)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = _carried(df, keys, F.min_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))), False, False)
-    local = df.withColumn("_local", F.last("_v", ignorenulls=True).over(window))
-    return _with_carry(local, carry, keys).withColumn(name, F.coalesce("_local", "_carry")).drop("_v", "_local", "_carry")
-
-
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Adds the sum of the values up to and with the row."""
-    df = df.withColumn("_v", value)
-    window = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    carry = _carried(df, keys, F.sum("_v"), True, True)
-    local = df.withColumn("_local", F.sum("_v").over(window))
-    return _with_carry(local, carry, keys).withColumn(name, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0))).drop("_v", "_local", "_carry")
+    local = F.last("_v", ignorenulls=True).over(inside(keys, *(F.col(o).desc() for o in order)).rowsBetween(Window.unboundedPreceding, -1))
+    blocks = df.groupBy(*keys, BLOCK).agg(F.min_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_own"))
+    carry = F.last("_own", ignorenulls=True).over(across(keys, False).rowsBetween(Window.unboundedPreceding, -1))
+    rows = with_summary(df.withColumn("_local", local), blocks, keys, carry.alias("_carry"))
+    return rows.withColumn(name, F.coalesce("_local", "_carry")).drop("_v", "_local", "_carry")
+
+
+def cumulative(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], step: Callable[[Column, Column], Column], name: str, step_name: str) -> DataFrame:
+    """Adds `step_name`, the step of each row, and `name`, the sum of the steps up to it.
+
+    step(row, before) gives a number from two structs of the fields; before is null for the first row of a series.
+    """
+    row = F.struct(*fields)
+    window = inside(keys, *order)
+    local = df.withColumn("_before", F.lag(row).over(window)).withColumn("_step", F.when(F.col("_before").isNotNull(), step(row, F.col("_before"))))
+    at = F.struct(*order)
+    blocks = local.groupBy(*keys, BLOCK).agg(F.min_by(row, at).alias("_first"), F.max_by(row, at).alias("_last"), F.coalesce(F.sum("_step"), F.lit(0)).alias("_steps"))
+    over = across(keys)
+    entered = blocks.withColumn("_enter", step(F.col("_first"), F.lag("_last").over(over)))
+    passed = F.coalesce(F.sum(F.col("_enter") + F.col("_steps")).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("_enter")
+    summed = local.withColumn("_sum", F.coalesce(F.sum("_step").over(window.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    rows = with_summary(summed, entered, keys, F.col("_enter"), passed.alias("_passed"))
+    return rows.withColumns({step_name: F.coalesce("_step", "_enter"), name: F.col("_sum") + F.col("_passed")}).drop("_before", "_step", "_sum", "_enter", "_passed")

@@ -8,13 +8,13 @@ Rows are (file, pos, start, end, text); pos orders a file and is unique in it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import text as T
 from ..functions.numbers import coverage_ratio
-from .ordered import BLOCK, first_after, in_blocks, last_before, running_sum
+from .ordered import BLOCK, across, cumulative, first_after, in_blocks, inside, with_summary
 
 BLOCK_ROWS = 50_000
 _KEYS, _ORDER = ["file"], ["pos"]
@@ -41,19 +41,27 @@ def fill_times(df: DataFrame, audio_end: str | None = None, block_rows: int = BL
     def fill(s: Column) -> Column:
         return F.when(F.col("_next") > s, F.col("_next")).when(audio > s, audio).otherwise(s)
 
-    # a row with one of its times doesn't hang on the row before it, as far as its end goes
-    anchored = F.struct(F.coalesce(F.col("end"), fill(F.col("start"))).alias("end"), F.col("pos").alias("pos"))
+    # a row with one of its times, an anchor, doesn't hang on the row before it as far as its end goes; all rows
+    # between an anchor and the next are chain
     chain = F.col("start").isNull() & F.col("end").isNull()
-    rows = last_before(rows, _KEYS, _ORDER, F.when(~chain, anchored), "_anchor")
-    # chunks of the chain since the anchor, with this row: counted by a running number of chain rows
-    rows = running_sum(rows, _KEYS, _ORDER, F.when(chain, F.lit(1)).otherwise(F.lit(0)), "_chains")
-    rows = last_before(rows, _KEYS, _ORDER, F.when(~chain, F.col("_chains")), "_chains_before")
-    base = F.coalesce(F.col("_anchor.end"), F.lit(0.0))
-    links = F.col("_chains") - F.coalesce(F.col("_chains_before"), F.lit(0)) - F.when(chain, F.lit(1)).otherwise(F.lit(0))
+    window = inside(_KEYS, *_ORDER)
+    rows = rows.withColumn("_n", F.row_number().over(window)).withColumn("_own", F.when(~chain, F.struct(F.coalesce(F.col("end"), fill(F.col("start"))).alias("end"), F.col("_n").alias("n"))))
+    blocks = rows.groupBy(*_KEYS, BLOCK).agg(F.max_by("_own", F.when(F.col("_own").isNotNull(), F.col("pos"))).alias("_tail"), F.count(F.lit(1)).alias("_size"))
+    before = across(_KEYS).rowsBetween(Window.unboundedPreceding, -1)
+    # rows since the last anchor of the blocks before: blocks without one add all their rows
+    blocks = blocks.withColumn("_anchored", F.count("_tail").over(across(_KEYS).rowsBetween(Window.unboundedPreceding, 0)))
+    since = F.col("_size") - F.coalesce(F.col("_tail.n"), F.lit(0))
+    blocks = blocks.withColumn("_run", F.sum(since).over(Window.partitionBy(*_KEYS, "_anchored").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)))
+    carried = F.last(F.when(F.col("_tail").isNotNull(), F.col("_tail.end")), ignorenulls=True).over(before)
+    rows = with_summary(rows, blocks, _KEYS, carried.alias("_carried"), F.lag("_run").over(across(_KEYS)).alias("_since"))
+    rows = rows.withColumn("_anchor", F.last("_own", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1)))
+    local = F.col("_anchor").isNotNull()
+    links = F.when(local, F.col("_n") - F.col("_anchor.n") - 1).otherwise(F.col("_n") - 1 + F.coalesce(F.col("_since"), F.lit(0)))
+    base = F.coalesce(F.when(local, F.col("_anchor.end")).otherwise(F.col("_carried")), F.lit(0.0))
     end_before = F.when(links == 0, base).when(links == 1, fill(base)).otherwise(fill(fill(base)))
     rows = rows.withColumn("start", F.coalesce(F.col("start"), end_before))
     rows = rows.withColumn("end", F.coalesce(F.col("end"), fill(F.col("start"))))
-    return rows.drop("_next", "_anchor", "_chains", "_chains_before", BLOCK)
+    return rows.drop("_next", "_n", "_own", "_anchor", "_carried", "_since", BLOCK)
 
 
 def repair_restarts(df: DataFrame, config: Config = DEFAULT, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -62,12 +70,13 @@ def repair_restarts(df: DataFrame, config: Config = DEFAULT, block_rows: int = B
     A chunk restarts the clock if it starts more than the tolerance before the chunk before it ended, both taken
     before any repair: the offset is the same on both sides. Each restart adds the difference to all that follows.
     """
-    rows = in_blocks(df, F.floor(F.col("pos") / block_rows))
-    rows = last_before(rows, _KEYS, _ORDER, F.greatest("start", "end"), "_before")
-    back = F.coalesce(F.col("_before"), F.lit(0.0)) - F.col("start")
-    reset = F.col("start") < F.coalesce(F.col("_before"), F.lit(0.0)) - F.lit(config.timestamp_reset_tolerance)
-    rows = running_sum(rows.withColumn("reset", reset), _KEYS, _ORDER, F.when(F.col("reset"), back).otherwise(F.lit(0.0)), "_offset")
-    return rows.withColumns({"start": F.col("start") + F.col("_offset"), "end": F.greatest(F.col("end"), F.col("start")) + F.col("_offset")}).drop("_before", "_offset", BLOCK)
+
+    def moved(row: Column, before: Column) -> Column:
+        end = F.coalesce(F.greatest(before["start"], before["end"]), F.lit(0.0))
+        return F.when(row["start"] < end - F.lit(config.timestamp_reset_tolerance), end - row["start"]).otherwise(F.lit(0.0))
+
+    rows = cumulative(in_blocks(df, F.floor(F.col("pos") / block_rows)), _KEYS, _ORDER, ["start", "end"], moved, "_offset", "_moved")
+    return rows.withColumns({"start": F.col("start") + F.col("_offset"), "end": F.greatest("end", "start") + F.col("_offset"), "reset": F.col("_moved") > 0}).drop("_offset", "_moved", BLOCK)
 
 
 def prepare(df: DataFrame, audio_end: str | None = None, config: Config = DEFAULT) -> DataFrame:
