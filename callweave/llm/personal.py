@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import written
+
 # Family names, of two syllables and of one.
 FAMILIES_2 = "남궁 황보 제갈 사공 선우 서문 독고 동방 어금 망절".split()
 FAMILIES_1 = (
@@ -286,7 +288,8 @@ def disclosed(rows: DataFrame) -> DataFrame:
 
 def mentions(texts: DataFrame, info: DataFrame, registry: DataFrame, text: str = "text") -> DataFrame:
     """(file, kind, start_pos, end_pos, disclosure, protected): every mention in the texts."""
-    return disclosed(scored(found_candidates(texts, known_values(info, registry), text)))
+    # counted on both sides and scored: written once instead of scanning the texts for each
+    return disclosed(scored(written(found_candidates(texts, known_values(info, registry), text))))
 
 
 def sanitised(texts: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
