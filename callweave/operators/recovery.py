@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
 from ..functions import text as T
+from ..storage import written
 from .intervals import centred_in, clip_to_crop, crop_window, difference, padded_coverage, split, union
 
 
@@ -80,13 +81,14 @@ def recover(chunks: DataFrame, turns: DataFrame, audio: DataFrame, transcribe: C
     """
     combined = chunks
     for _ in range(config.missing_speech_retry_loops):
-        windows = retry_windows(missing_speech(turns, combined, config), audio, config)
+        # each pass reads what the one before wrote: plans don't grow with the passes, and a model isn't asked twice
+        windows = written(retry_windows(missing_speech(turns, combined, config), audio, config))
         if windows.isEmpty():
             break
-        found = accept_retry(transcribe(windows), config)
+        found = written(accept_retry(transcribe(windows), config))
         numbered = found.withColumn("pos", (F.row_number().over(Window.partitionBy("file").orderBy("start", "end", "text")) - 1).cast("long"))
         fresh = new_words(combined, numbered, config)
         if fresh.isEmpty():
             break
-        combined = merge_recovered(combined, numbered, config).drop("recovered")
+        combined = written(merge_recovered(combined, numbered, config).drop("recovered"))
     return combined

@@ -1,6 +1,6 @@
 """The whole run: transcripts, speakers, masking, masking of the spoken lines; with gates between the stages.
 
-A stage is a function from the tables so far to (result, outcome per file). What the gates need is one row per
+A stage is a function from the tables so far to its result and to what tells each file's outcome from it. What the gates need is one row per
 stage; files move through the stages as partitions of tables, not as processes.
 """
 
@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..models import Adapter, Identity, apply_model
 from ..operators import lines, masking, quality, redaction, speakers, timeline
+from ..storage import written
 
 Tables = dict[str, DataFrame]
-Stage = Callable[[Tables], tuple[DataFrame, DataFrame]]
+#: Gives a result, and from the result as it was written the outcome of each file.
+Stage = Callable[[Tables], tuple[DataFrame, Callable[[DataFrame], DataFrame]]]
 
 
 @dataclass
@@ -47,7 +49,8 @@ def run(stages: list[tuple[str, Stage]], tables: Tables, stop_on_partial: bool =
             continue
         try:
             result, outcomes = stage(report.tables)
-            summary = quality.run_summary(outcomes).first().asDict()
+            result = written(result)  # later stages read it; a model isn't asked again
+            summary = quality.run_summary(outcomes(result)).first().asDict()
             code = stage_code(summary)
         except Exception as e:
             result, summary, code = None, {"error": f"{type(e).__name__}: {e}"}, quality.BROKEN
@@ -70,12 +73,12 @@ def _outcomes(sources: DataFrame, done: DataFrame, short: DataFrame | None = Non
 
 
 def transcripts(config: Config = DEFAULT) -> Stage:
-    """`raw` (file, pos, start, end, text) and `audio` (file, audio_seconds) to `chunks`; plain text is `plain_text`."""
+    """`raw` (file, pos, start, end, text) and `audio` (file, audio_seconds) to `chunks`."""
 
-    def stage(t: Tables) -> tuple[DataFrame, DataFrame]:
+    def stage(t: Tables):
         raw = t["raw"].join(t["audio"].select("file", "audio_seconds"), "file", "left")
         chunks = timeline.prepare(raw, "audio_seconds", config)
-        return chunks, _outcomes(t["raw"], chunks, timeline.coverage(chunks, t["audio"], config))
+        return chunks, lambda done: _outcomes(t["raw"], done, timeline.coverage(done, t["audio"], config))
 
     return stage
 
@@ -83,12 +86,12 @@ def transcripts(config: Config = DEFAULT) -> Stage:
 def spoken_lines(config: Config = DEFAULT) -> Stage:
     """`chunks` and `turns` to lines with speakers."""
 
-    def stage(t: Tables) -> tuple[DataFrame, DataFrame]:
+    def stage(t: Tables):
         turns = speakers.label_speakers(t["turns"], config.speaker_label_format)
         named = turns.select("file", "start", "end", F.col("speaker").alias("label"))
         assigned = speakers.smooth(speakers.pick_speakers(t["chunks"], named, config), config)
         result = lines.document(lines.merge_lines(assigned.select("file", "pos", "start", "end", "text", "speaker"), config))
-        return result, _outcomes(t["chunks"], result)
+        return result, lambda done: _outcomes(t["chunks"], done)
 
     return stage
 
@@ -96,13 +99,13 @@ def spoken_lines(config: Config = DEFAULT) -> Stage:
 def masked(source: str, registry: masking.Registry, adapter: Adapter | None = None) -> Stage:
     """The texts of `source` (file, text) with known values masked, then by the adapter: (file, source_text, masked_text)."""
 
-    def stage(t: Tables) -> tuple[DataFrame, DataFrame]:
+    def stage(t: Tables):
         texts = t[source].select("file", "text")
         known = texts.select("file", masking.mask_known(F.col("text"), registry).alias("text"))
         out = apply_model(known, adapter or Identity())
         good = out.where(F.col("error").isNull())
         result = texts.withColumnRenamed("text", "source_text").join(good.select("file", "masked_text"), "file")
-        return result, _outcomes(texts, good)
+        return result, lambda done: _outcomes(texts, done)
 
     return stage
 
@@ -116,9 +119,9 @@ def redaction_info(result: DataFrame, registry: masking.Registry) -> DataFrame:
 def standard(registry: masking.Registry, config: Config = DEFAULT, adapter: Adapter | None = None, skip_spoken: bool = False) -> list[tuple[str, Stage]]:
     """The stages in their usual order; run them with soft=("spoken",) and needs={"masked_spoken": "spoken"}."""
 
-    def plain(t: Tables) -> tuple[DataFrame, DataFrame]:
+    def plain(t: Tables):
         result = lines.document(lines.merge_lines(t["chunks"].select("file", "pos", "start", "end", "text"), config))
-        return result, _outcomes(t["chunks"], result)
+        return result, lambda done: _outcomes(t["chunks"], done)
 
     stages = [("chunks", transcripts(config)), ("plain", plain), ("spoken", spoken_lines(config)), ("masked", masked("plain", registry, adapter))]
     return stages if skip_spoken else [*stages, ("masked_spoken", masked("spoken", registry, adapter))]
