@@ -26,6 +26,8 @@ GRAM = 8
 #: half the item's words with every fifth of them changed still keeps more.
 CANDIDATE_SHARE = 0.12
 MIN_SHARE = 0.5
+#: Matches of fewer characters are taken for chance. Held shares of unrelated passages stay below 0.46 with 2.
+MIN_BLOCK = 2
 #: A passage may be this many times as long as the item.
 PASSAGE = 1.5
 MAX_SET_BYTES = 64 << 20
@@ -130,7 +132,7 @@ class ItemSet:
         text = self.texts[i]
         covered = np.zeros(len(text), dtype=bool)
         for block in SequenceMatcher(None, text, passage, autojunk=False).get_matching_blocks():
-            if block.size >= 3:
+            if block.size >= MIN_BLOCK:
                 covered[block.a : block.a + block.size] = True
         ends = np.cumsum([len(w) for w in self.words[i]])
         total = np.concatenate([[0], np.cumsum(covered)])

@@ -62,6 +62,8 @@ LATIN_BITS, VETO_BITS = 6.0, -3.0
 #: A candidate name of fewer bits from its syllables isn't looked at further.
 SYLLABLE_BITS = -4.0
 SYLLABLES = 11_172
+#: Counts as so many occurrences of each syllable in given names, seen or not.
+SMOOTHING = 0.005
 
 # One to one, so offsets stay: full-width signs, dashes, odd spaces.
 _fold = {code: code - 0xFEE0 for code in range(0xFF01, 0xFF5F)} | dict.fromkeys(map(ord, "‐‑‒–—―−﹣－ー"), ord("-")) | dict.fromkeys([0xA0, 0x1680, *range(0x2000, 0x2010), 0x202F, 0x205F, 0x3000, 0xFEFF, 0x2060], ord(" "))
@@ -128,7 +130,7 @@ class Syllables:
     def __init__(self, given: dict[str, int], family: dict[str, int], corpus: dict[str, int]):
         total, names, families = sum(corpus.values()) + SYLLABLES, sum(given.values()), sum(family.values())
         usual = lambda s: (corpus.get(s[0], 0) + 1) / total
-        self.given = {s: log2((given.get(s, 0) + 0.05) / (names + 0.05 * SYLLABLES) / usual(s)) for s in {*given, *corpus}} if names else {}
+        self.given = {s: log2((given.get(s, 0) + SMOOTHING) / (names + SMOOTHING * SYLLABLES) / usual(s)) for s in {*given, *corpus}} if names else {}
         self.family = {s: max(-3.0, min(6.0, log2((n + 0.5) / (families + 50) / usual(s)))) for s, n in family.items()} if families else {}
 
     def bits(self, family: str, a: str, b: str) -> float:

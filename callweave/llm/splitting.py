@@ -46,20 +46,22 @@ def pattern(limit: int = LIMIT, overlap_least: int = OVERLAP_LEAST) -> str:
     return rf"(?sU)\A(?:.{{1,{limit}}}\z|{_alternatives(limit, overlap_least)})|.{{1,{later}}}\z|{_alternatives(later)}"
 
 
-def prefix_sums(lengths: Column) -> Column:
-    """The offsets of consecutive parts: sums of all lengths before each, in two levels of blocks.
+def with_offsets(df: DataFrame, parts: str, name: str) -> DataFrame:
+    """Adds the offsets of consecutive parts: the sums of all lengths before each, in two levels of blocks.
 
-    The work is n * (BLOCK + n / BLOCK / BLOCK) instead of n * n.
+    Each step is a column of its own, so that it is computed once; the work per part is BLOCK plus a share of the
+    sums of blocks instead of all parts before.
     """
-    n = F.size(lengths)
-    blocks = F.sequence(F.lit(0), F.floor((n - 1) / F.lit(BLOCK)).cast("int"))
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    sums = F.transform(blocks, lambda b: total(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))))
-    def inside(b: Column) -> Column:
-        base = total(F.slice(sums, F.lit(1), b))
-        own = F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))
-        return F.transform(own, lambda _, i: base + total(F.slice(own, F.lit(1), i)))
-    return F.when(n > 0, F.flatten(F.transform(blocks, inside))).otherwise(F.array().cast("array<int>"))
+    block = lambda b: F.slice("_lengths", b * BLOCK + 1, F.lit(BLOCK))
+    stepped = (
+        df.withColumn("_lengths", F.transform(parts, F.length))
+        .withColumn("_blocks", F.when(F.size("_lengths") > 0, F.sequence(F.lit(0), F.floor((F.size("_lengths") - 1) / F.lit(BLOCK)).cast("int"))).otherwise(F.array().cast("array<int>")))
+        .withColumn("_sums", F.transform("_blocks", lambda b: total(block(b))))
+        .withColumn("_bases", F.transform("_blocks", lambda b: total(F.slice("_sums", F.lit(1), b))))
+    )
+    inside = lambda b: F.transform(block(b), lambda _, i: F.col("_bases")[b] + total(F.slice("_lengths", b * BLOCK + 1, i)))
+    return stepped.withColumn(name, F.flatten(F.transform("_blocks", inside))).drop("_lengths", "_blocks", "_sums", "_bases")
 
 
 def split_texts(
@@ -75,9 +77,7 @@ def split_texts(
     kept = whole.where(F.col("_text").isNotNull() if keep_short else F.length("_text") > limit)
     stretch = rf"(?U)[^\s{ENDS}]{{{limit + 1}}}"
     cores = kept.withColumns({"_cores": F.regexp_extract_all("_text", F.lit(pattern(limit, overlap_least)), F.lit(0)), "unbroken": F.col("_text").rlike(stretch)}).drop("_text")
-    offsets = prefix_sums(F.transform("_cores", F.length))
-    # an array without repeated evaluation: cores, offsets and the two cores before each, zipped and exploded
-    rows = cores.withColumn("_starts", offsets).select(
+    rows = with_offsets(cores, "_cores", "_starts").select(
         *keep,
         "unbroken",
         F.size("_cores").alias("_n"),
