@@ -12,6 +12,10 @@ SPACE = r"[\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u300
 #: The tags that stand for masked values, by type.
 TAGS = {"name": "[이름]", "birthdate": "[생년월일]", "phone": "[전화번호]"}
 TAG_PATTERN = r"\[이름\]|\[생년월일\]|\[전화번호\]"
+#: The shapes of phone numbers and birth dates, and the marks that no name holds.
+PHONE_SHAPE = r"\+?[0-9][0-9 \t().-]*[0-9]"
+BIRTH_SHAPE = r"[0-9][0-9년월일생 \t./-]*[0-9일생]"
+NAME_MARKS = r"[,.:;!?/()\[\]{}]"
 #: Where Python splits lines.
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
@@ -81,9 +85,9 @@ def after_last_return(c: Column) -> Column:
 def looks_like(tag: Column, value: Column) -> Column:
     """Whether a value has the shape of the tag's kind; used where adjacent tags are told apart."""
     digits = F.length(phone_digits(value))
-    phone = digits.between(7, 15) & value.rlike(r"^\+?[0-9][0-9 \t().-]*[0-9]\z")
-    birth = (F.length(value) <= 40) & (digits >= 4) & value.rlike(r"^[0-9][0-9년월일생 \t./-]*[0-9일생]\z")
-    name = (F.length(value) <= 20) & ~value.rlike(r"\p{Nd}") & ~value.rlike(r"[,.:;!?/()\[\]{}]")
+    phone = digits.between(7, 15) & value.rlike(rf"^{PHONE_SHAPE}\z")
+    birth = (F.length(value) <= 40) & (digits >= 4) & value.rlike(rf"^{BIRTH_SHAPE}\z")
+    name = (F.length(value) <= 20) & ~value.rlike(r"\p{Nd}") & ~value.rlike(NAME_MARKS)
     return F.coalesce((value != "") & F.when(tag == TAGS["phone"], phone).when(tag == TAGS["birthdate"], birth).when(tag == TAGS["name"], name), F.lit(False))
 
 

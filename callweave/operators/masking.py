@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import TAGS, phone_pattern
+from ..functions.text import PHONE_SHAPE, TAGS, phone_pattern
 
 MAX_ENTRIES = 2_000
 #: Stand for the tags while names are replaced, and for themselves if a text holds them.
@@ -52,7 +52,7 @@ class Registry:
         phones: dict[str, str] = {}
         for number in entries["phone_numbers"]:
             digits = "".join(c for c in number if c.isdecimal())
-            if not (7 <= len(digits) <= 15 and re.fullmatch(r"\+?[0-9][0-9 \t().-]*[0-9]", number)):
+            if not (7 <= len(digits) <= 15 and re.fullmatch(PHONE_SHAPE, number)):
                 raise RegistryError("a phone number must have 7 to 15 digits and separators only")
             phones.setdefault(digits, number)
         return cls(names, tuple(phones.items()))

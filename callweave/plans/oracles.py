@@ -12,8 +12,9 @@ _TURNS = """tn AS (SELECT DISTINCT file, start AS s, "end" AS e, label FROM turn
 _TEXTS = "texts AS (SELECT DISTINCT file, text FROM text_files WHERE text IS NOT NULL)"
 
 
+# Equal rows count once: two windows may order them differently, and only one of them opens an island.
 def _union(source: str, name: str, gap: float, keep_empty: bool = False) -> str:
-    return f"""{name}_m AS (SELECT file, s, e, max(e) OVER (PARTITION BY file ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {source} {"" if keep_empty else "WHERE e > s"}),
+    return f"""{name}_m AS (SELECT file, s, e, max(e) OVER (PARTITION BY file ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM (SELECT DISTINCT file, s, e FROM {source} {"" if keep_empty else "WHERE e > s"})),
     {name}_i AS (SELECT *, sum(CASE WHEN s <= reach + {gap}::DOUBLE THEN 0 ELSE 1 END) OVER (PARTITION BY file ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM {name}_m),
     {name} AS (SELECT file, island, min(s) AS s, max(e) AS e FROM {name}_i GROUP BY file, island)"""
 
@@ -125,7 +126,7 @@ ORACLES = {
             FROM (SELECT file, unnest(chunks) AS c FROM stt_timestamps)
         ), m AS (
             SELECT *, max(e) OVER (PARTITION BY origin, file, label ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
-            FROM v WHERE s IS NOT NULL AND e IS NOT NULL AND e > s
+            FROM (SELECT DISTINCT * FROM v WHERE s IS NOT NULL AND e IS NOT NULL AND e > s)
         ), i AS (
             SELECT *, sum(CASE WHEN s <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY origin, file, label ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS island FROM m
         ), p AS (

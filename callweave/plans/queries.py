@@ -5,10 +5,10 @@ Tables are delivered with repeated rows; what an operator takes is each file, ch
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, Config
+from ..config import Config
 from ..functions import numbers
 from ..functions import text as T
 from ..operators import intervals, lines, masking, quality, recovery, redaction, selection, speakers, timeline
@@ -242,11 +242,16 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redacted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values of lines with one tag, for pairs of texts with as many lines; what SQL can say of the recovery."""
+    """Values of lines with one tag whose other text stands in the source; what SQL can say of the recovery."""
     both = _pairs(spark, sf_dir)
     both = both.where(F.size(T.lines(F.col("source_text"))) == F.size(T.lines(F.col("masked_text"))))
     pairs = redaction.line_pairs(both, ["anon_id"])
-    one = pairs.where(F.regexp_count("masked_line", F.lit(T.TAG_PATTERN)) == 1)
+    parts = F.split("masked_line", T.TAG_PATTERN, -1)
+    head, tail = parts[0], parts[1]
+    found = F.when(head == "", F.lit(1)).otherwise(F.position(head, F.col("source_line")))
+    rest = F.substring(F.col("source_line"), found + F.length(head), F.length("source_line"))
+    fits = (found > 0) & ((tail == "") | (F.position(tail, rest) > 0))
+    one = pairs.where((F.regexp_count("masked_line", F.lit(T.TAG_PATTERN)) == 1) & fits)
     found = redaction.replacements(one, ["anon_id"], registry(spark, sf_dir)).where("value is not null")
     return found.select("anon_id", "line", "tag", "value")
 
