@@ -14,6 +14,7 @@ from ..functions import text as T
 from ..operators import intervals, lines, masking, quality, recovery, redaction, selection, speakers, timeline
 from ..session import table
 from ..sources import sinks
+from ..storage import written
 
 
 def _ms(column: str):
@@ -324,7 +325,7 @@ def exit_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qc_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = mapped_words(spark, sf_dir)
+    words = written(mapped_words(spark, sf_dir))  # counted, and put together to turns
     final = lines.word_turns(words.select("file", "pos", "speaker", "start", "end", "word"))
     return quality.total_counters(quality.word_counters(words, final))
 
