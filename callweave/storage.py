@@ -13,16 +13,20 @@ _written: list[tuple] = []
 
 
 def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder, removed when the driver's Python ends."""
+    """df as a Parquet table in the shared folder, removed by `release` or when the driver's Python ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/callweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not _written:
-        atexit.register(_remove)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Removes the tables written so far; what was derived from them can't be computed any more."""
+    _remove()
+    _written.clear()
+
+
 def _remove() -> None:
     for spark, path in _written:
         try:
@@ -31,3 +35,6 @@ def _remove() -> None:
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
         except Exception:  # the JVM may be gone already
             return
+
+
+atexit.register(_remove)

@@ -195,3 +195,15 @@ def test_sessions_close_at_pauses(spark):
     df = spark.createDataFrame([("f", at + datetime.timedelta(seconds=s), d) for s, d in ((0, 0.5), (1.5, 0.5), (3.2, 0.4), (9.0, 1.0))], "file string, at timestamp, seconds double")
     got = sorted((r.start, r.chunks) for r in timelines.paused_lines(df).collect())
     assert [n for _, n in got] == [2, 1, 1]
+
+
+def test_written_tables_are_removed(spark):
+    from urllib.parse import urlparse
+
+    from callweave import storage
+
+    df = storage.written(spark.range(5).toDF("id"))
+    path = urlparse(storage._written[-1][1]).path
+    assert os.path.isdir(path) and df.count() == 5 and path.startswith(urlparse(storage.shared_folder(spark)).path)
+    storage.release()
+    assert not os.path.exists(path)
