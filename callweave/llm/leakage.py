@@ -216,9 +216,9 @@ def _scan_piece(known: ItemSet, piece: list[tuple[int, str]], share: float, leas
 
 
 def read_items(spark: SparkSession, items: DataFrame, key: str = "item_id", text: str = "text") -> list[tuple[int, str]]:
-    """The held-out items on the driver: a fixed set, checked against MAX_SET_BYTES times 16 before it is read."""
+    """The held-out items on the driver: a fixed set, checked against MAX_SET_BYTES times 4 before it is read."""
     size = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    if size > 16 * MAX_SET_BYTES:
+    if size > 4 * MAX_SET_BYTES:
         raise ValueError(f"{size} bytes of held-out items: split the table and call once for each part")
     return [(r[0], r[1]) for r in items.select(key, text).where(F.col(text).isNotNull()).distinct().collect()]
 
