@@ -8,7 +8,8 @@
 3. K-mers of a single class are dropped. The rest is joined on the k-mer into anchors of pairs of classes. A
    k-mer of more than HOT classes isn't joined: all spans of `least` characters around its occurrences are
    hashed instead and only equal spans meet, so an announcement shorter than `least` pairs nobody, however
-   common it is, and a longer one pairs only those that do share it.
+   common it is, and a longer one pairs only those that do share it. Only the first and the last span of what two
+   texts share in a row meet; the anchor is the whole run.
 4. Anchors of a pair are chained in the order of both texts, with gap costs, by a Fenwick tree of prefix maxima.
 5. Each chain is aligned in the passages of the two texts that it touches: exact spans come from extending
    its anchors character by character, the fuzzy passage from aligning the gaps between them.
@@ -155,7 +156,7 @@ def _meet(shared: DataFrame) -> DataFrame:
 
 
 def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
-    """(doc_a, doc_b, pos_a, pos_b, size): equal k-mers (or, of hot k-mers, equal spans of `least`) of two classes."""
+    """(doc_a, doc_b, pos_a, pos_b, size): equal k-mers (or, of hot k-mers, runs of equal spans of `least`) of two classes."""
     sown = seeds(df, key, text, least, k)
     common = sown.groupBy("kmer").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("kmer", "n")
     shared = sown.join(common, "kmer")
@@ -166,7 +167,7 @@ def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int =
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kmers, docs, found = [], [], []
+            kmers, docs, found, follows, leads = [], [], [], [], []
             for doc, text_, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 codes = codes_of(text_)
                 every = window_hashes(codes, least)
@@ -175,16 +176,37 @@ def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int =
                     mark[min(len(every), max(0, p - side))] += 1
                     mark[min(len(every), p + 1)] -= 1
                 begin = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-                own, first = np.unique(every[begin], return_index=True)
-                kmers.append(own.astype(np.int64))
-                found.append(begin[first].astype(np.int32))
-                docs.append(np.full(len(own), doc, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, t)) for x, t in ((kmers, np.int64), (docs, np.int64), (found, np.int32))], names=["kmer", "doc", "pos"])
-
-    windows = texts.join(places, "doc").select("doc", "t", "places").mapInArrow(spans, "kmer long, doc long, pos int").dropDuplicates(["kmer", "doc"])
-    often = windows.groupBy("kmer").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("kmer")
-    # of spans that begin one after another in the same two texts the first is enough; it's extended later
-    warm = _meet(windows.join(often, "kmer")).groupBy("doc_a", "doc_b", (F.col("pos_b") - F.col("pos_a")).alias("diagonal")).agg(F.min("pos_a").alias("pos_a"), F.min("pos_b").alias("pos_b"), F.lit(least).alias("size"))
+                _, first = np.unique(every[begin], return_index=True)
+                begin = np.sort(begin[first])  # each content once
+                next_to = np.diff(begin) == 1
+                kmers.append(every[begin].astype(np.int64))
+                found.append(begin.astype(np.int32))
+                docs.append(np.full(len(begin), doc, dtype=np.int64))
+                # the content of the places before and behind, where they're spans too
+                follows.append(np.concatenate([np.zeros(min(1, len(begin)), bool), next_to]))
+                leads.append(np.concatenate([next_to, np.zeros(min(1, len(begin)), bool)]))
+            kmer, doc, pos, follow, lead = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((kmers, np.int64), (docs, np.int64), (found, np.int32), (follows, bool), (leads, bool)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kmer), pa.array(doc), pa.array(pos), pa.array(np.roll(kmer, 1), mask=~follow), pa.array(np.roll(kmer, -1), mask=~lead)],
+                names=["kmer", "doc", "pos", "before", "behind"],
+            )
+
+    windows = texts.join(places, "doc").select("doc", "t", "places").mapInArrow(spans, "kmer long, doc long, pos int, before long, behind long").dropDuplicates(["kmer", "doc"])
+    # a span that all its texts hold between the same neighbours neither begins nor ends a run of any two of them
+    differ = " or ".join(f"count({c}) < count(*) or min({c}) < max({c})" for c in ("before", "behind"))
+    edges = windows.groupBy("kmer").agg(F.expr(f"count(*) > 1 and ({differ})").alias("edge")).where("edge").select("kmer")
+    edge = windows.join(edges, "kmer")
+    left = edge.select("kmer", *(F.col(c).alias(f"{c}_a") for c in ("doc", "pos", "before", "behind")))
+    right = edge.select(F.col("kmer").alias("other"), *(F.col(c).alias(f"{c}_b") for c in ("doc", "pos", "before", "behind")))
+    begins, ends = (~F.coalesce(F.col(f"{c}_a") == F.col(f"{c}_b"), F.lit(False)) for c in ("before", "behind"))
+    met = left.join(right, (F.col("kmer") == F.col("other")) & (F.col("doc_a") < F.col("doc_b")) & (begins | ends))
+    # spans that follow one another in both texts make one anchor, as long as their run
+    runs = met.groupBy("doc_a", "doc_b", (F.col("pos_b") - F.col("pos_a")).alias("diagonal")).agg(
+        *(F.sort_array(F.collect_list(F.when(at, F.col("pos_a")))).alias(name) for name, at in (("begin", begins), ("end", ends)))
+    )
+    warm = runs.select("doc_a", "doc_b", "diagonal", F.explode(F.arrays_zip("begin", "end")).alias("r")).select(
+        "doc_a", "doc_b", F.col("r.begin").alias("pos_a"), (F.col("r.begin") + F.col("diagonal")).alias("pos_b"), (F.col("r.end") - F.col("r.begin") + least).alias("size")
+    )
     return cold.unionByName(warm.select("doc_a", "doc_b", "pos_a", "pos_b", "size"))
 
 

@@ -139,6 +139,37 @@ def test_a_passage_that_a_text_holds_twice_counts_twice(spark):
     assert 600 <= shares[1] <= 604 and 300 <= shares[2] <= 302 and shares[3] == 600 and shares[4] == 450
 
 
+def covered(docs, least):
+    """Characters of each document in spans that stand in a text of another class, and the other classes."""
+    spans = {}
+    for d, t in docs:
+        for i in range(len(t) - least + 1):
+            spans.setdefault(t[i : i + least], set()).add(d)
+    out = {}
+    for d, t in docs:
+        held, others = set(), set()
+        for i in range(len(t) - least + 1):
+            if len(spans[t[i : i + least]]) > 1:
+                held.update(range(i, i + least))
+                others |= spans[t[i : i + least]] - {d}
+        if held:
+            out[d] = (len(held), len(others))
+    return out
+
+
+def shares(spark, docs, hot, least=60, k=32):
+    return {r.rep: (r.shared_chars, r.links) for r in S.shared_shares(frame(spark, docs), least=least, k=k, hot=hot).collect()}
+
+
+@pytest.mark.parametrize("hot", [2, 32])
+def test_a_long_common_passage_counts_in_full(spark, hot):
+    long, other = text(1000), text(200)
+    docs = [(i, text(RNG.randint(0, 60)) + long[RNG.choice([0, 0, 150]) : RNG.choice([700, 1000, 1000])] + text(30) + (other if i % 3 else "")) for i in range(8)]
+    assert shares(spark, docs, hot) == covered(docs, 60)
+    whole = [(1, text(20) + long), (2, text(30) + long), (3, text(10) + long)]
+    assert {r.longest for r in S.passages(frame(spark, whole), least=60, k=32, hot=hot).collect()} == {1000}
+
+
 def test_empty_table(spark):
     assert S.sharing_pairs(frame(spark, [(1, None)]).limit(0)).count() == 0
     assert S.sharing_pairs(frame(spark, [(1, None), (2, "")])).count() == 0
