@@ -149,17 +149,35 @@ def seeds(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = L
     return slim.mapInArrow(sown, "kmer long, same long, pos int, doc long").groupBy("kmer", "same", "pos").agg(F.min("doc").alias("doc")).select("kmer", "doc", "pos")
 
 
+def shared_seeds(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K) -> DataFrame:
+    """(kmer, doc, pos, n): the seeds whose k-mer stands in several classes, and its number of occurrences."""
+    sown = seeds(df, key, text, least, k)
+    common = sown.groupBy("kmer").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("kmer", "n")
+    return sown.join(common, "kmer")
+
+
+def _near(places: list[int], spans: int, side: int) -> np.ndarray:
+    """The places among so many spans whose span holds the k-mer at one of the given places."""
+    mark = np.zeros(spans + 1, dtype=np.int64)
+    for p in places:
+        mark[min(spans, max(0, p - side))] += 1
+        mark[min(spans, p + 1)] -= 1
+    return np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+
+
 def _meet(shared: DataFrame) -> DataFrame:
     left = shared.select(F.col("kmer"), F.col("doc").alias("doc_a"), F.col("pos").alias("pos_a"))
     right = shared.select(F.col("kmer").alias("other"), F.col("doc").alias("doc_b"), F.col("pos").alias("pos_b"))
     return left.join(right, (F.col("kmer") == F.col("other")) & (F.col("doc_a") < F.col("doc_b"))).select("doc_a", "doc_b", "pos_a", "pos_b")
 
 
-def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
-    """(doc_a, doc_b, pos_a, pos_b, size): equal k-mers (or, of hot k-mers, runs of equal spans of `least`) of two classes."""
-    sown = seeds(df, key, text, least, k)
-    common = sown.groupBy("kmer").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("kmer", "n")
-    shared = sown.join(common, "kmer")
+def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT, shared: DataFrame | None = None) -> DataFrame:
+    """(doc_a, doc_b, pos_a, pos_b, size): equal k-mers (or, of hot k-mers, runs of equal spans of `least`) of two classes.
+
+    shared: the table of `shared_seeds`, where it's written already. Of a hot span that a text holds several times
+    the first place meets the others' first; `repeated_spans` has the rest.
+    """
+    shared = shared_seeds(df, key, text, least, k) if shared is None else shared
     cold = _meet(shared.where(F.col("n") <= hot)).withColumn("size", F.lit(k))
     places = shared.where(F.col("n") > hot).groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("places"))
     texts = df.where(F.length(text) >= least).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
@@ -171,11 +189,7 @@ def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int =
             for doc, text_, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 codes = codes_of(text_)
                 every = window_hashes(codes, least)
-                mark = np.zeros(len(every) + 1, dtype=np.int64)
-                for p in at:
-                    mark[min(len(every), max(0, p - side))] += 1
-                    mark[min(len(every), p + 1)] -= 1
-                begin = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+                begin = _near(at, len(every), side)
                 _, first = np.unique(every[begin], return_index=True)
                 begin = np.sort(begin[first])  # each content once
                 next_to = np.diff(begin) == 1
@@ -304,7 +318,7 @@ def align(a: str, b: str, chain: list[tuple[int, int, int]], least: int) -> tupl
     return exact, a0, a1 + s1, b0, b1 + s1, equal / max(a1 + s1 - a0, b1 + s1 - b0)
 
 
-def passages(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
+def passages(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT, shared: DataFrame | None = None) -> DataFrame:
     """Chains of pairs of classes: (doc_a, doc_b, start_a, end_a, start_b, end_b, identity, longest, spans).
 
     spans: the exact spans (start_a, start_b, size) of at least `least` characters; longest: the size of the
@@ -326,7 +340,7 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text", least: int
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=["doc", "doc_a", "doc_b", "chain", "side", "low", "size", "steps"])
 
-    links = anchors(df, key, text, least, k, hot).groupBy("doc_a", "doc_b").agg(F.collect_set(F.struct("pos_a", "pos_b", "size")).alias("found"))
+    links = anchors(df, key, text, least, k, hot, shared).groupBy("doc_a", "doc_b").agg(F.collect_set(F.struct("pos_a", "pos_b", "size")).alias("found"))
     wanted = links.mapInArrow(chained, f"doc long, {pair}, side int, low int, size int, steps array<int>")
     texts = df.where(F.length(text) >= least).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
     cut = wanted.join(texts, "doc").select("doc_a", "doc_b", "chain", "side", "low", "steps", F.substring(F.col("t"), F.col("low") + 1, F.col("size")).alias("part"))
@@ -390,16 +404,51 @@ def repeated_seeds(df: DataFrame, key: str = "doc_id", text: str = "text", least
     return slim.mapInArrow(sown, "doc long, pos int, again int").distinct()
 
 
+def repeated_spans(df: DataFrame, shared: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
+    """(doc, first, again, size): runs of spans around hot k-mers of `shared` that a text holds at `first` and again.
+
+    The first place of a span is the one that `anchors` pairs: its k-mer has no place with equal surroundings before it.
+    """
+    several = shared.where(F.col("n") > hot).groupBy("doc", "kmer").agg(F.collect_set("pos").alias("at")).where(F.size("at") > 1)
+    # written, so that the planner knows how few they are and needn't shuffle the texts for them
+    places = written(several.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("places")))
+    texts = df.where(F.length(text) >= least).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
+    side = least - k
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple[int, int, int, int]] = []
+            for doc, t, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                every = window_hashes(codes_of(t), least)
+                begin = _near(at, len(every), side)
+                _, first, which = np.unique(every[begin], return_index=True, return_inverse=True)
+                first = begin[first][which]
+                begin, first = begin[begin > first], first[begin > first]
+                starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(begin)), bool), (np.diff(begin) != 1) | (np.diff(first) != 1)]))
+                sizes = np.diff(np.concatenate([starts, [len(begin)]])) + least - 1
+                rows += [(doc, int(first[i]), int(begin[i]), int(n)) for i, n in zip(starts, sizes)]
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (pa.int64(), *[pa.int32()] * 3))], names=["doc", "first", "again", "size"])
+
+    return texts.join(places, "doc").select("doc", "t", "places").mapInArrow(runs, "doc long, first int, again int, size int").distinct()
+
+
 def shared_shares(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
     """(rep, copies, links, shared_chars, n_chars, share) of each class of texts that shares a span with another, or has copies.
 
     share: the part of its characters that lie in exact spans of `least` characters or more that also stand in a
     text of another class; 1.0 for a text with copies. links: other classes that it shares a span with.
     """
-    found = written(passages(df, key, text, least, k, hot).where(F.col("longest") >= least)).select("doc_a", "doc_b", F.explode("spans").alias("s"))
+    seeds_ = written(shared_seeds(df, key, text, least, k))  # for the passages and for what their texts repeat
+    found = written(passages(df, key, text, least, k, hot, seeds_).where(F.col("longest") >= least)).select("doc_a", "doc_b", F.explode("spans").alias("s"))
     sides = found.select(F.col("doc_a").alias("rep"), F.col("doc_b").alias("other"), F.col("s.start_a").alias("start"), F.col("s.size").alias("size")).unionByName(
         found.select(F.col("doc_b").alias("rep"), F.col("doc_a").alias("other"), F.col("s.start_b").alias("start"), F.col("s.size").alias("size"))
     )
+    # what a text holds of a hot span at its first place stands again at the others
+    copied = repeated_spans(df, seeds_, key, text, least, k, hot).withColumnRenamed("size", "run")
+    low, high = F.greatest("start", "first"), F.least(F.col("start") + F.col("size"), F.col("first") + F.col("run"))
+    more = sides.join(copied, (F.col("rep") == F.col("doc")) & (high - low >= least)).select("rep", "other", (low + F.col("again") - F.col("first")).alias("start"), (high - low).alias("size"))
+    sides = sides.unionByName(more)
     side = least - k
     again = repeated_seeds(df, key, text, least, k)
     # what a seed's surroundings hold of a span stands again where the seed does

@@ -170,6 +170,21 @@ def test_a_long_common_passage_counts_in_full(spark, hot):
     assert {r.longest for r in S.passages(frame(spark, whole), least=60, k=32, hot=hot).collect()} == {1000}
 
 
+@pytest.mark.parametrize("hot", [2, 32])
+def test_a_template_with_values_of_equal_length_counts_on_both_sides(spark, hot):
+    before, after = text(150), text(170)
+    docs = [(i, text(20) + before + f"010-{i:04d}-{i:04d}" + after + text(i)) for i in range(6)]
+    assert shares(spark, docs, hot) == covered(docs, 60)
+
+
+@pytest.mark.parametrize("hot", [2, 32])
+def test_a_common_passage_counts_at_every_place(spark, hot):
+    said, other = text(90), text(150)
+    docs = [(i, text(40) + said + text(45) + said + text(30) + (other if i % 2 else "") + text(10) + said[: 60 + 5 * i]) for i in range(6)]
+    docs += [(6, other + said + other + said + other), (7, "가나" * 60 + said + "가나" * 60 + said), (8, said + "가나" * 80), (9, said * 3), (10, said * 2 + text(9) + said * 3)]
+    assert shares(spark, docs, hot) == covered(docs, 60)
+
+
 def test_empty_table(spark):
     assert S.sharing_pairs(frame(spark, [(1, None)]).limit(0)).count() == 0
     assert S.sharing_pairs(frame(spark, [(1, None), (2, "")])).count() == 0
