@@ -9,8 +9,12 @@ Two kinds of evidence are combined as log odds:
 * Ending. The last word's ending (its last characters) is compared with the whole corpus: endings that close
   sentences there (before a mark or a line end), endings that close far more texts than cuts at random places would
   leave there, and endings that do neither. A broken character or a line that has only begun is cut for certain.
+  Endings that do neither count by how much more often cuts at random places leave them than sentences close with
+  them, rare endings as far as their last two characters or their last one say something: nothing where all are rare,
+  up to UNFINISHED where the corpus is sure.
 
-A text that ends with a finished sentence is complete by definition, so a finished ending outweighs any length.
+A text that ends with a finished sentence is complete by definition, so a finished ending outweighs any length. An
+ending of which the corpus says little leaves it to the length: cut at a limit, else complete.
 
 Everything is counted over all rows. Words are counted within each batch before they are shuffled; what is fitted
 per source is a histogram of lengths, not its rows. Nothing grows on the driver.
@@ -36,7 +40,9 @@ from ..storage import written
 FINAL_SHARE, MIN_SEEN = 0.3, 5
 #: An ending closes texts if it does so this many times as often as cutting half of all texts anywhere would.
 TEXT_END_LIFT = 4.0
-#: Log odds of the prior (one row in ten) and of each kind of ending.
+#: Counts as so many places of each ending, divided into cuts and closings as the shorter ending is.
+SMOOTHING = 1.0
+#: Log odds of the prior (one row in ten) and of each kind of ending; of unfinished ones the most.
 PRIOR, FINISHED, UNFINISHED, BROKEN = log(0.1 / 0.9), -12.0, 7.0, 14.0
 _tail = re.compile(r"[\W_]+$")
 _closing = re.compile(r"[.?!…~。？！]")
@@ -92,20 +98,23 @@ def _words(df: DataFrame, text: str) -> DataFrame:
 
 
 def endings(df: DataFrame, text: str = "text") -> DataFrame:
-    """(key, finished): every ending of two or three characters that closes a word of the corpus, and if it closes sentences."""
+    """(key, finished, known, cuts, closings): every ending of up to three characters that closes a word of the corpus, and if it closes sentences.
+
+    cuts: how often as many cuts at random places as sentences close would leave it.
+    """
     words = written(_words(df, text))  # counted for the keys and for the totals
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums: dict[str, np.ndarray] = {}
             for word, f, m, e in zip(*(c.to_pylist() for c in batch.columns)):
-                for n in (2, 3):
+                for n in (1, 2, 3):
                     sums.setdefault(ending_key(word, n), np.zeros(5, np.int64))[:] += (f, m, e, 0, n)
                 # a cut at a random place leaves the ending of a beginning of the word
                 total = f + m + e
                 for i in range(1, len(word) + 1):
                     part = word[max(0, i - 8) : i] if i > 8 else word[:i]
-                    for n in (2, 3):
+                    for n in (1, 2, 3):
                         key = ending_key(part, n) if i <= 8 else _digits.sub("0", part.lower())[-n:]
                         sums.setdefault(key, np.zeros(5, np.int64))[3] += total
             rows = [(k, *map(int, v[:4])) for k, v in sums.items()]
@@ -114,13 +123,14 @@ def endings(df: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=["key", "f", "m", "e", "t"])
 
     keys = words.mapInArrow(keyed, "key string, f long, m long, e long, t long").groupBy("key").agg(*(F.sum(c).alias(c) for c in "fmet"))
-    # places of cuts: all characters of words; each stands once among the keys of two and once among those of three
-    totals = words.agg(F.sum((F.col("f") + F.col("m") + F.col("e")) * F.length("word")).alias("places"), F.sum("e").alias("texts"))
+    # places of cuts: all characters of words; each stands once among the keys of each length
+    totals = words.agg(F.sum((F.col("f") + F.col("m") + F.col("e")) * F.length("word")).alias("places"), F.sum("e").alias("texts"), F.sum("f").alias("closings"))
     seen = F.col("f") + F.col("m")
     closes = (seen >= MIN_SEEN) & (F.col("f") >= FINAL_SHARE * seen)
     expected = F.lit(0.5) * totals.select("texts").scalar() * F.col("t") / totals.select("places").scalar()
     formula = (F.col("e") >= MIN_SEEN) & (F.col("e") >= TEXT_END_LIFT * expected)
-    return keys.where(F.col("f") + F.col("m") + F.col("e") > 0).select("key", (closes | formula).alias("finished"), ((seen >= MIN_SEEN) | formula).alias("known"))
+    cuts = totals.select("closings").scalar() * F.col("t") / totals.select("places").scalar()
+    return keys.where(F.col("f") + F.col("m") + F.col("e") > 0).select("key", (closes | formula).alias("finished"), ((seen >= MIN_SEEN) | formula).alias("known"), cuts.alias("cuts"), F.col("f").alias("closings"))
 
 
 # --- right-censored lengths ---
@@ -230,9 +240,10 @@ def truncation(df: DataFrame, key: str = "anon_id", text: str = "text", source:
     rows = measured(df, key, text, source)
     known = endings(df, text)
     limits = source_limits(rows.where("chars is not null"))
-    three = known.select(F.col("key").alias("key3"), F.col("finished").alias("f3"), F.col("known").alias("k3"))
-    two = known.select(F.col("key").alias("key2"), F.col("finished").alias("f2"))
-    joined = rows.join(three, "key3", "left").join(two, "key2", "left")
+    three = known.select(F.col("key").alias("key3"), F.col("finished").alias("f3"), F.col("known").alias("k3"), F.col("cuts").alias("c3"), F.col("closings").alias("s3"))
+    two = known.select(F.col("key").alias("key2"), F.col("finished").alias("f2"), F.col("cuts").alias("c2"), F.col("closings").alias("s2"))
+    one = known.select(F.col("key").alias("key1"), F.col("cuts").alias("c1"), F.col("closings").alias("s1"))
+    joined = rows.withColumn("key1", F.right("key2", F.lit(1))).join(three, "key3", "left").join(two, "key2", "left").join(one, "key1", "left")
     for unit in ("chars", "bytes"):
         own = limits.where(F.col("unit") == unit).select(F.col("source").alias("_s"), F.col("limit").alias(f"limit_{unit}"), F.col("posterior").alias(f"at_{unit}"))
         joined = joined.join(own, F.col("source").eqNullSafe(F.col("_s")) & (F.col(unit) == F.col(f"limit_{unit}")), "left").drop("_s")
@@ -241,7 +252,13 @@ def truncation(df: DataFrame, key: str = "anon_id", text: str = "text", source:
     ending = F.when(F.col("broken"), "broken").when(finished, "finished").otherwise("unfinished")
     clipped = F.least(F.greatest("length_posterior", F.lit(0.02)), F.lit(0.98))
     length_odds = F.when(F.col("length_posterior") > 0, F.log(clipped / (1 - clipped))).otherwise(F.lit(0.0))
-    ending_odds = F.when(F.col("ending") == "broken", BROKEN).when(F.col("ending") == "finished", FINISHED).otherwise(UNFINISHED)
+    ending_odds = F.when(F.col("ending") == "broken", BROKEN).when(F.col("ending") == "finished", FINISHED).otherwise(F.least("cut", F.lit(UNFINISHED)))
+    cut = closed = F.lit(0.5)  # the parts of cuts and closings among the places of the ending, from the shortest to the longest
+    for n in "123":
+        cuts, closings = (F.coalesce(f"{c}{n}", F.lit(0.0)) for c in "cs")
+        total = cuts + closings + SMOOTHING
+        cut, closed = (cuts + SMOOTHING * cut) / total, (closings + SMOOTHING * closed) / total
+    joined = joined.withColumn("cut", F.log(cut / closed))
     scored = joined.withColumns({"length_posterior": posterior, "ending": ending}).withColumn("odds", F.lit(PRIOR) + length_odds + ending_odds)
     probability = F.when(F.col("chars").isNotNull(), 1 / (1 + F.exp(-F.col("odds")))).otherwise(F.lit(0.0))
     return scored.select(

@@ -44,6 +44,18 @@ def test_cut_texts_are_found(spark):
     assert rates["whole"] == 0 and rates[None] == 0 and rates["fixed"] > 0.3
 
 
+def test_the_length_decides_where_the_ending_says_nothing(spark):
+    rare = ["쿼크", "뷁", "zyx", "튜플"]
+    rows = corpus()
+    body = "\n".join(["상담원이 주문을 확인했습니다."] * 40)
+    rows += [(10_000 + i, "fixed", body[: 249 - len(w)] + " " + w, True) for i, w in enumerate(rare[:2])]
+    rows += [(20_000 + i, "whole", body[: 17 * (7 + i)] + w, False) for i, w in enumerate(rare[2:])]
+    got = {r.anon_id: r for r in T.truncation(spark.createDataFrame([(i, s, t) for i, s, t, _ in rows], "anon_id long, source string, text string")).collect()}
+    assert {got[i].ending for i, *_ in rows[-4:]} == {"unfinished"}
+    assert [got[i].truncated for i, *_ in rows[-4:]] == [True, True, False, False]
+    assert all(got[i].length_posterior > 0.9 for i, *_ in rows[-4:-2])
+
+
 def test_fit_recovers_a_censored_distribution():
     rng = np.random.default_rng(2)
     true = np.exp(rng.normal(6.0, 0.7, 20_000)).astype(int) + 1
