@@ -19,7 +19,7 @@ each of the 11,172 syllables. Texts are scanned in place.
 Defined results: null and empty texts hold no mentions; a file delivered several times gives each mention once if
 the texts are equal; null lists and null entries in the known values are skipped; without any known value contexts
 say nothing, and only unmistakable shapes are found. Offsets are code points of the stored text. Of overlapping
-mentions the one with more certainty stays, then the longer one.
+mentions the one with more certainty stays, then the longer one, and what overlaps only mentions that don't stay.
 """
 
 from __future__ import annotations
@@ -279,13 +279,16 @@ def disclosed(rows: DataFrame) -> DataFrame:
     """Those that exceed the threshold of their kind, without overlaps."""
     least = F.when(F.col("kind") == "name", NAME_BITS).otherwise(DATE_BITS)
     over = rows.where(F.col("sure") | F.col("protected") | (F.col("disclosure") >= least))
-    rank = F.struct(F.col("sure"), F.col("end") - F.col("start"), F.coalesce("disclosure", F.lit(0.0)))
-    # mentions of a text that overlap in a chain form a group, of which the first by rank stays
+    # by rank: the more certain, the longer, the one that discloses more
+    row = F.struct((~F.col("sure")).alias("unsure"), (F.col("start") - F.col("end")).alias("less"), (-F.coalesce("disclosure", F.lit(0.0))).alias("hides"), "kind", "start", "end", "disclosure", "protected")
+    # mentions of a text that overlap in a chain form a group, of which each by rank stays that overlaps none before it
     order = Window.partitionBy("file").orderBy("start", "end", "kind")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     group = F.sum(F.when(F.col("start") < reach, 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    best = Window.partitionBy("file", "_group").orderBy(rank.desc(), "kind", "start")
-    return over.withColumn("_group", group).withColumn("_r", F.row_number().over(best)).where("_r = 1").select("file", "kind", F.col("start").cast("long").alias("start_pos"), F.col("end").cast("long").alias("end_pos"), "disclosure", "protected")
+    groups = over.withColumn("_group", group).groupBy("file", "_group").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    apart = lambda kept, r: ~F.exists(kept, lambda k: (k["start"] < r["end"]) & (r["start"] < k["end"]))
+    kept = F.aggregate("_rows", F.slice("_rows", 1, 1), lambda kept, r: F.when(apart(kept, r), F.concat(kept, F.array(r))).otherwise(kept))
+    return groups.select("file", F.explode(kept).alias("m")).select("file", "m.kind", F.col("m.start").cast("long").alias("start_pos"), F.col("m.end").cast("long").alias("end_pos"), "m.disclosure", "m.protected")
 
 
 def mentions(texts: DataFrame, info: DataFrame, registry: DataFrame, text: str = "text") -> DataFrame:

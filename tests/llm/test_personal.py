@@ -90,6 +90,17 @@ def test_overlaps_and_long_texts(spark):
     assert [(m.kind, m.start_pos, m.protected) for m in P.mentions(t, i, r).collect()] == [("phone", 400_000, True)]
 
 
+def test_of_a_chain_all_that_overlap_no_kept_mention_stay(spark):
+    schema = "file string, kind string, start int, end int, disclosure double, sure boolean, protected boolean"
+    spans = [(0, 10, 1.0), (8, 20, 1.0), (18, 24, 9.0), (23, 26, 5.0), (30, 33, 4.0), (40, 44, 4.0), (43, 47, 9.0), (46, 50, 5.0)]
+    df = spark.createDataFrame([(f, "name", *s, False, True) for f in ("a", None) for s in spans], schema)
+    want = [(8, 20), (23, 26), (30, 33), (43, 47)]
+    got = sorted(((r.file or "", r.start_pos, r.end_pos) for r in P.disclosed(df).collect()))
+    assert got == sorted((f, *s) for f in ("a", "") for s in want)
+    ends = spark.createDataFrame([("a", "name", *s, False, True) for s in [(0, 5, 1.0), (4, 12, 1.0), (11, 15, 1.0), (14, 18, 1.0)]], schema)
+    assert sorted(r.start_pos for r in P.disclosed(ends).collect()) == [4, 14]
+
+
 def test_folding_keeps_offsets():
     text = "０１０－１２　\xa0​가–나"
     assert len(P.fold(text)) == len(text) and P.fold(text) == "010-12   가-나"
