@@ -146,6 +146,8 @@ ORACLES = {
     "split_gaps": f"""WITH {_TURNS}, w AS (SELECT file, label, min(s) AS s, max(e) AS e FROM tn GROUP BY file, label),
         n AS (SELECT *, unnest(range(0, greatest(1, CAST(ceil((e - s) / 2.0) AS BIGINT)))) AS i FROM w WHERE e > s)
         SELECT file, label, round(s + i * 2.0::DOUBLE, 6) AS start, round(least(s + (i + 1) * 2.0::DOUBLE, e), 6) AS "end" FROM n WHERE s + i * 2.0::DOUBLE < e""",
+    "split_gaps_20": f"""WITH {_GAPS}, n AS (SELECT *, unnest(range(0, greatest(1, CAST(ceil((e - s) / 20.0) AS BIGINT)))) AS i FROM gaps)
+        SELECT file, round(s + i * 20.0::DOUBLE, 6) AS start, round(least(s + (i + 1) * 20.0::DOUBLE, e), 6) AS "end" FROM n WHERE s + i * 20.0::DOUBLE < e""",
     "retry_windows": f"""WITH {_GAPS}, {_AUDIO}, n AS (SELECT *, unnest(range(0, greatest(1, CAST(ceil((e - s) / 20.0) AS BIGINT)))) AS i FROM gaps),
         p AS (SELECT file, s + i * 20.0::DOUBLE AS s, least(s + (i + 1) * 20.0::DOUBLE, e) AS e FROM n)
         SELECT file, round(s, 6) AS missing_start, round(e, 6) AS missing_end, round(greatest(0.0::DOUBLE, s - 0.5), 6) AS crop_start, round(least(e + 0.5, coalesce(audio_seconds, e + 0.5)), 6) AS crop_end

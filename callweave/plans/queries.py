@@ -96,6 +96,12 @@ def split_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.split(turns(spark, sf_dir).groupBy("file", "label").agg(F.min("start").alias("start"), F.max("end").alias("end")), 2.0).withColumns(_micro("start", "end"))
 
 
+def split_gaps_20(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speech without words cut into pieces of the longest retry at most."""
+    missing = recovery.missing_speech(turns(spark, sf_dir), chunks(spark, sf_dir))
+    return intervals.split(missing, Config().missing_speech_max_retry_seconds).withColumns(_micro("start", "end"))
+
+
 def retry_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = recovery.missing_speech(turns(spark, sf_dir), chunks(spark, sf_dir))
     return recovery.retry_windows(missing, audio(spark, sf_dir)).withColumns(_micro("missing_start", "missing_end", "crop_start", "crop_end"))
@@ -368,7 +374,8 @@ def recorded_short(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p5_found, interval_union, interval_union_keep_empty, interval_union_sorted, word_coverage, speech_gaps, split_gaps, retry_windows,
+    p5_found, interval_union, interval_union_keep_empty, interval_union_sorted, word_coverage, speech_gaps, split_gaps,
+    split_gaps_20, retry_windows,
     normalize_null_times, repair_timeline, prepared_chunks, coverage_report, timeline_mismatch, label_speakers, speaker_count,
     pick_speaker_tolerance, pick_speaker_max, nearest_speaker, smooth_speakers, mapped_words, plain_lines, speaker_lines, plain_text,
     speaker_turns, srt_cues, speaker_text, dedupe_recovered, merged_recovered, mask_known, mask_phones_spoken, redacted_lines,

@@ -102,3 +102,14 @@ def test_crop_clip_and_centre(spark):
     assert sorted((r.start, r.end) for r in I.clip_to_crop(words).collect()) == [(10.0, 11.0), (13.5, 14.0)]
     edge = spark.createDataFrame([(0.0, 2.0, 1.0, 3.0), (2.0, 4.0, 1.0, 3.0), (2.1, 4.0, 1.0, 3.0)], "start double, end double, missing_start double, missing_end double")
     assert I.centred_in(edge).count() == 2
+
+
+def test_gaps_are_split_as_a_query(spark, small, monkeypatch):
+    from callweave.plans import queries
+
+    got = queries.QUERIES["split_gaps_20"](spark, small).collect()
+    gaps = queries.speech_gaps(spark, small).collect()
+    assert got and abs(sum(r.end - r.start for r in got) - sum(r.end - r.start for r in gaps)) < 1e-3
+    monkeypatch.setattr(queries, "turns", lambda *_: spark.createDataFrame([("f", "A", 0.0, 45.0)], "file string, label string, start double, end double"))
+    monkeypatch.setattr(queries, "chunks", lambda *_: spark.createDataFrame([], "file string, start double, end double"))
+    assert sorted((r.file, r.start, r.end) for r in queries.QUERIES["split_gaps_20"](spark, small).collect()) == [("f", 0.0, 20.0), ("f", 20.0, 40.0), ("f", 40.0, 45.0)]
