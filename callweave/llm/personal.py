@@ -5,7 +5,8 @@ How strongly a term reveals a protected entity is estimated from the corpus, in
 1. Values known to be personal (per file from anonymization_info, everywhere from the registry) are the protected
    entities.
 2. Candidates are spans of the shape of a name, date or number. Numbers of an unmistakable shape (phone, resident,
-   passport and licence numbers, e-mail and street addresses) stand for themselves; names and dates don't.
+   passport and licence numbers, e-mail and street addresses) stand for themselves; names and dates don't. What is
+   known for the text's file, or everywhere, is searched besides, whatever its shape: it needs no estimate.
 3. For names and dates every context (the word before, the end of the own word with the word behind) is counted
    over all candidates, and over those that are protected in their file: their ratio is the information that the
    context gives about the entity, the pointwise mutual information. For names the syllables add theirs: how much
@@ -14,19 +15,23 @@ How strongly a term reveals a protected entity is estimated from the corpus, in
    placeholder of its kind; the rest of the text stays as it is.
 
 Contexts are counted and joined as tables; what goes to the executors is the syllable table, at most one row for
-each of the 11,172 syllables. Texts are scanned in place.
+each of the 11,172 syllables, and the registry, which is one document. The known values of a file meet its texts in
+arrays of about PART_VALUES; a file with more of them has several, and its texts are scanned with each.
 
 Defined results: null and empty texts hold no mentions; a file delivered several times gives each mention once if
 the texts are equal; null lists and null entries in the known values are skipped; without any known value contexts
-say nothing, and only unmistakable shapes are found. Offsets are code points of the stored text. Of overlapping
-mentions the one with more certainty stays, then the longer one, and what overlaps only mentions that don't stay.
+say nothing, and only unmistakable shapes are found. A known name is found at the beginning of a word, in its own
+writing or in capitals, spaces in it aside; of fewer than three syllables, or in another script, only as a whole word (particles aside).
+A known number or date is found in any writing of its digits that isn't part of a longer number. Names of one
+character, and numbers and dates of fewer than six digits, aren't looked for. Offsets are code points of the stored text. Of overlapping mentions the one with more certainty stays, then the longer one, and what overlaps only mentions that don't stay.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import log2
 
 import pyarrow as pa
@@ -64,6 +69,8 @@ SYLLABLE_BITS = -4.0
 SYLLABLES = 11_172
 #: Counts as so many occurrences of each syllable in given names, seen or not.
 SMOOTHING = 0.005
+#: Known values of a file that are searched at once.
+PART_VALUES = 500
 
 # One to one, so offsets stay: full-width signs, dashes, odd spaces.
 _fold = {code: code - 0xFEE0 for code in range(0xFF01, 0xFF5F)} | dict.fromkeys(map(ord, "‐‑‒–—―−﹣－ー"), ord("-")) | dict.fromkeys([0xA0, 0x1680, *range(0x2000, 0x2010), 0x202F, 0x205F, 0x3000, 0xFEFF, 0x2060], ord(" "))
@@ -92,6 +99,12 @@ _given = re.compile(r"(?<![가-힣A-Za-z0-9])(?P<all>(?P<a>[가-힣])(?P<b>[가-
 _latin = re.compile(r"(?<![A-Za-z0-9@._+-])(?P<all>[A-Z][a-z]{1,20}\s{1,2}[A-Z][a-z]{1,20})(?![A-Za-z0-9@_+-])")
 
 
+_word = re.compile(r"(?<![^\W_])[^\W\d_]")
+_behind = re.compile(rf"(?:{TAILS})?(?![가-힣A-Za-z0-9])")
+_digit_run = re.compile(r"\d(?:[ \t().-]{0,3}\d){5,}")
+_any_date = re.compile(r"(?<!\d)\d{2}(?:\d{2})?\s?[./년-]\s{0,2}\d{1,2}\s?[./월-]\s{0,2}\d{1,2}(?:일(?:생)?)?(?!\d)")
+
+
 def fold(text: str) -> str:
     """The text with plain digits, signs, dashes and spaces, character by character."""
     return text.translate(_fold)
@@ -137,15 +150,66 @@ class Syllables:
         return self.given.get(a, 0.0) + self.given.get(b, 0.0) + (self.family.get(family, -3.0 if self.family else 0.0) if family else 0.0)
 
 
-def candidates(text: str, syllables: Syllables) -> list[tuple[str, int, int, str, str, str, float, bool]]:
-    """(kind, start, end, value, left, right, bits, sure) of a text."""
+class Known:
+    """Known values, normalised, looked up by what they begin with."""
+
+    def __init__(self, values: Iterable[tuple[str, str]]):
+        self.every: set[tuple[str, str]] = set(values)
+        self.names: dict[str, list[str]] = {}
+        for kind, value in sorted(self.every, key=lambda v: (-len(v[1]), v)):
+            if kind == "name" and len(value) > 1:
+                for writing in dict.fromkeys((value, value.upper())):
+                    self.names.setdefault(writing[:2], []).append(writing)
+        self.phones = {v for k, v in self.every if k == "phone" and len(v) >= 6}
+        self.dates = {v for k, v in self.every if k == "birthdate" and len(v) >= 6}
+        self.sizes = sorted({len(v) for v in self.phones}, reverse=True)
+
+    def __contains__(self, kind_value: tuple[str, str]) -> bool:
+        kind, value = kind_value
+        return kind_value in self.every or kind == "name" and ("given", value) in self.every
+
+    def hits(self, plain: str) -> Iterator[tuple[str, int, int, str]]:
+        """(kind, start, end, value) of the values that stand in a folded text; the longest name at each place."""
+        if self.names:
+            places = [i for i, c in enumerate(plain) if not c.isspace()]
+            dense = "".join(plain[i] for i in places)
+            for m in _word.finditer(plain):
+                at = bisect_left(places, m.start())
+                for name in self.names.get(dense[at : at + 2], ()):
+                    if dense.startswith(name, at):
+                        end = places[at + len(name) - 1] + 1
+                        if _behind.match(plain, end) or re.fullmatch("[가-힣]{3,}", name) and "가" <= plain[end : end + 1] <= "힣":
+                            yield "name", m.start(), end, name
+                            break
+        if self.phones:
+            for run in _digit_run.finditer(plain):
+                digits = [i for i in range(run.start(), run.end()) if plain[i].isdigit()]
+                text = "".join(plain[i] for i in digits)
+                edge = [i == 0 or digits[i - 1] + 1 < digits[i] for i in range(len(digits))] + [True]
+                for i in range(len(digits)):
+                    size = next((n for n in self.sizes if edge[i] and i + n <= len(digits) and edge[i + n] and text[i : i + n] in self.phones), 0)
+                    if size:
+                        yield "phone", digits[i], digits[i + size - 1] + 1, text[i : i + size]
+        if self.dates:
+            for m in _any_date.finditer(plain):
+                if date_of(m[0]) in self.dates:
+                    yield "birthdate", *m.span(), date_of(m[0])
+
+
+NOTHING = Known(())
+
+
+def candidates(text: str, syllables: Syllables, known: Known = NOTHING, registry: Known = NOTHING) -> list[tuple[str, int, int, str, str, str, float, bool, bool]]:
+    """(kind, start, end, value, left, right, bits, sure, protected) of a text."""
     plain = fold(text)
     out: list[tuple] = []
     taken: list[tuple[int, int]] = []
+    placed: set[tuple[str, int, int]] = set()
 
     def add(kind: str, start: int, end: int, value: str, bits: float, sure: bool) -> None:
         left, right = context(plain, start, end)
-        out.append((kind, start, end, value, left, right, bits, sure))
+        out.append((kind, start, end, value, left, right, bits, sure, (kind, value) in known or (kind, value) in registry))
+        placed.add((kind, start, end))
         if sure:
             taken.append((start, end))
 
@@ -179,34 +243,49 @@ def candidates(text: str, syllables: Syllables) -> list[tuple[str, int, int, str
     for m in _latin.finditer(plain):
         if free(*m.span("all")):
             add("name", *m.span("all"), name_of(m["all"]), LATIN_BITS, False)
+    for values in (known, registry):
+        for kind, start, end, value in values.hits(plain):
+            if (kind, start, end) not in placed and free(start, end):
+                left, right = context(plain, start, end)
+                out.append((kind, start, end, value, left, right, 0.0, False, True))
+                placed.add((kind, start, end))
     return out
 
 
 def known_values(info: DataFrame, registry: DataFrame) -> DataFrame:
-    """(file, kind, value) of the protected entities, normalised; file is null for those known everywhere.
+    """(general, file, kind, value) of the protected entities, normalised; general: known everywhere, the file is null.
 
-    A full Korean name also protects its given name.
+    A full Korean name also protects its given name, as the kind `given`.
     """
     listed = info.select("file", F.explode(F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(f"info.{kind}").alias("entries")) for kind in ("name", "birthdate", "phone")))).alias("i"))
-    own = listed.select("file", "i.kind", F.explode("i.entries").alias("value"))
-    none = F.lit(None).cast("string")
-    general = registry.select(none.alias("file"), F.lit("name").alias("kind"), F.explode("names").alias("value")).unionByName(registry.select(none.alias("file"), F.lit("phone").alias("kind"), F.explode("phone_numbers").alias("value")))
+    own = listed.select(F.lit(False).alias("general"), "file", "i.kind", F.explode("i.entries").alias("value"))
+    everywhere = (F.lit(True).alias("general"), F.lit(None).cast("string").alias("file"))
+    general = registry.select(*everywhere, F.lit("name").alias("kind"), F.explode("names").alias("value")).unionByName(registry.select(*everywhere, F.lit("phone").alias("kind"), F.explode("phone_numbers").alias("value")))
 
     def normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for file, kind, value in zip(*(c.to_pylist() for c in batch.columns)):
+            for general, file, kind, value in zip(*(c.to_pylist() for c in batch.columns)):
                 if not value or not value.strip():
                     continue
                 plain = {"name": name_of, "birthdate": date_of, "phone": digits_of}[kind](value)
                 if plain:
-                    rows.append((file, kind, plain))
+                    rows.append((general, file, kind, plain))
                     if kind == "name" and re.fullmatch(r"[가-힣]{3,4}", plain):
-                        rows.append((file, kind, plain[-2:]))
-            columns = list(zip(*rows)) if rows else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=pa.string()) for c in columns], names=["file", "kind", "value"])
+                        rows.append((general, file, "given", plain[-2:]))
+            columns = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (pa.bool_(), *[pa.string()] * 3))], names=["general", "file", "kind", "value"])
+
+    return own.unionByName(general).where(F.col("value").isNotNull()).mapInArrow(normalised, "general boolean, file string, kind string, value string").distinct()
 
-    return own.unionByName(general).where(F.col("value").isNotNull()).mapInArrow(normalised, "file string, kind string, value string").distinct()
+
+def with_known(texts: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
+    """(file, text, values): each text with the known values of its file, in as many rows as those have parts."""
+    own = known.where(~F.col("general"))
+    sizes = own.groupBy(F.col("file").alias("_f")).agg(F.ceil(F.count(F.lit(1)) / F.lit(PART_VALUES)).alias("_parts"))
+    parts = own.join(sizes, F.col("file").eqNullSafe(F.col("_f"))).groupBy("_f", F.pmod(F.xxhash64("kind", "value"), "_parts").alias("_part")).agg(F.collect_list(F.struct("kind", "value")).alias("values"))
+    whole = texts.where(F.length(text) > 0).select("file", F.col(text).alias("text"))
+    return whole.join(parts, F.col("file").eqNullSafe(F.col("_f")), "left").select("file", "text", "values")
 
 
 def syllable_table(texts: DataFrame, known: DataFrame, text: str = "text") -> Syllables:
@@ -230,24 +309,25 @@ def syllable_table(texts: DataFrame, known: DataFrame, text: str = "text") -> Sy
 
 def found_candidates(texts: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     """All candidates of all texts with `protected`: the value is known for the file or everywhere."""
-    shared = texts.sparkSession.sparkContext.broadcast(syllable_table(texts, known, text))
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast(syllable_table(texts, known, text))
+    # the registry is one document, so what it holds fits wherever it was read
+    everywhere = context.broadcast(Known((r.kind, r.value) for r in known.where("general").select("kind", "value").collect()))
+    names = ["file", "kind", "start", "end", "value", "left", "right", "bits", "sure", "protected"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(f, *c) for f, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t for c in candidates(t, shared.value)]
-            columns = list(zip(*rows)) if rows else [[]] * 9
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=["file", "kind", "start", "end", "value", "left", "right", "bits", "sure"])
-
-    found = texts.select("file", F.col(text)).mapInArrow(scan, "file string, kind string, start int, end int, value string, left string, right string, bits double, sure boolean").dropDuplicates(["file", "kind", "start", "end"])
-    own = known.where(F.col("file").isNotNull()).select(F.col("file").alias("_f"), F.col("kind").alias("_k"), F.col("value").alias("_v"))
-    general = known.where(F.col("file").isNull()).select(F.col("kind").alias("_gk"), F.col("value").alias("_gv")).distinct()
-    return (
-        found.join(own, F.col("file").eqNullSafe(F.col("_f")) & (F.col("kind") == F.col("_k")) & (F.col("value") == F.col("_v")), "left")
-        .join(general, (F.col("kind") == F.col("_gk")) & (F.col("value") == F.col("_gv")), "left")
-        .withColumn("protected", F.col("_v").isNotNull() | F.col("_gv").isNotNull())
-        .drop("_f", "_k", "_v", "_gk", "_gv")
-    )
+            rows = []
+            for f, t, values in zip(*(c.to_pylist() for c in batch.columns)):
+                rows += [(f, *c) for c in candidates(t, shared.value, Known((v["kind"], v["value"]) for v in values or ()), everywhere.value)]
+            columns = list(zip(*rows)) if rows else [[]] * 10
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds)], names=names)
+
+    found = with_known(texts, known, text).mapInArrow(scan, "file string, kind string, start int, end int, value string, left string, right string, bits double, sure boolean, protected boolean")
+    # texts of a file, and the parts of its known values, may give a place several times
+    rest = F.max(F.struct("protected", "sure", "value", "left", "right", "bits")).alias("m")
+    return found.groupBy("file", "kind", "start", "end").agg(rest).select("file", "kind", "start", "end", *(f"m.{c}" for c in names[4:]))
 
 
 def _ambiguous(kind: Column) -> Column:
@@ -288,11 +368,14 @@ def disclosed(rows: DataFrame) -> DataFrame:
     groups = over.withColumn("_group", group).groupBy("file", "_group").agg(F.sort_array(F.collect_list(row)).alias("_rows"))
     apart = lambda kept, r: ~F.exists(kept, lambda k: (k["start"] < r["end"]) & (r["start"] < k["end"]))
     kept = F.aggregate("_rows", F.slice("_rows", 1, 1), lambda kept, r: F.when(apart(kept, r), F.concat(kept, F.array(r))).otherwise(kept))
-    return groups.select("file", F.explode(kept).alias("m")).select("file", "m.kind", F.col("m.start").cast("long").alias("start_pos"), F.col("m.end").cast("long").alias("end_pos"), "m.disclosure", "m.protected")
+    return groups.select("file", F.explode(kept).alias("m")).select("file", "m.kind", F.col("m.start").cast("long").alias("start_pos"), F.col("m.end").cast("long").alias("end_pos"), "m.disclosure", "m.protected", F.when(F.col("m.unsure"), F.when(F.col("m.protected"), "known").otherwise("information")).otherwise("shape").alias("route"))
 
 
 def mentions(texts: DataFrame, info: DataFrame, registry: DataFrame, text: str = "text") -> DataFrame:
-    """(file, kind, start_pos, end_pos, disclosure, protected): every mention in the texts."""
+    """(file, kind, start_pos, end_pos, disclosure, protected, route): every mention in the texts.
+
+    route: what it was found by: an unmistakable `shape`, a `known` value, or the `information` of its context and syllables.
+    """
     # counted on both sides and scored: written once instead of scanning the texts for each
     return disclosed(scored(written(found_candidates(texts, known_values(info, registry), text))))
 

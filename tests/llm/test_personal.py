@@ -8,7 +8,7 @@ NONE = P.Syllables({}, {}, {})
 
 
 def found(text, kind):
-    return [text[s:e] for k, s, e, _, _, _, _, sure in P.candidates(text, NONE) if k == kind and (sure or kind == "birthdate")]
+    return [text[s:e] for k, s, e, _, _, _, _, sure, _ in P.candidates(text, NONE) if k == kind and (sure or kind == "birthdate")]
 
 
 @pytest.mark.parametrize("text", ["010-1234-5678", "01012345678", "010 1234 5678", "010.1234.5678", "010 - 1234 - 5678", "+82 10-1234-5678", "+82-10-1234-5678", "(02)1234-5678", "０１０－１２３４－５６７８", "공일공에 공삼이육 팔이오오", "공일공 공이구오 일오이일"])
@@ -34,7 +34,7 @@ def test_addresses(text):
 
 @pytest.mark.parametrize("text", ["송장번호 420720015508", "접수번호는 2024-0497-0462844", "모델명이 KX-0769-1373", "카드 끝자리가 9557", "오류 코드는 E613-9", "내선 312번", "5,855,736원", "골뱅이 무침 세트도 주문했어요", "다시 새로 3번 보내고 7월 19일 오후 7시", "강 건너편 매장은", "한 사람당 두 개까지만"])
 def test_other_numbers_and_words(text):
-    assert [c for c in P.candidates(text, NONE) if c[-1]] == []
+    assert [c for c in P.candidates(text, NONE) if c[-2]] == []
 
 
 def tables(spark, texts, info, names=(), phones=()):
@@ -110,3 +110,34 @@ def test_query(spark, small):
     rows = queries.p6_found(spark, small)
     assert rows.columns == ["file", "kind", "start_pos"] and rows.count() == rows.distinct().count() > 0
     assert rows.where(~F.col("kind").isin(*P.PLACEHOLDERS)).count() == 0
+
+
+def test_known_values_of_any_shape_are_masked(spark):
+    text = "응우옌 씨와 Bob, 그리고 MARIA KIM, 남궁솔늘이랑 Bobby. 대표번호 1588 1234, 생일 90. 1. 2일, 주문 15881234567. 하이나라 이나라"
+    info = [("a", ["응우옌", "Bob", None, " "], None, ["1588-1234"]), ("a", ["남궁 솔늘", "Maria Kim"], ["1990-01-02"], [None]), ("b", ["그리고"], None, None), (None, ["김 솔"], None, None)]
+    t, i, r = tables(spark, [("a", text), ("a", text), ("b", text), (None, "김솔은 이나라에")], info, names=["이나라"])
+    found = P.mentions(t, i, r)
+    by = {}
+    for m in found.collect():
+        by.setdefault(m.file, set()).add((m.kind, (text if m.file else "김솔은 이나라에")[m.start_pos : m.end_pos]))
+    assert by["a"] == {("name", x) for x in ("응우옌", "Bob", "MARIA KIM", "남궁솔늘", "이나라")} | {("phone", "1588 1234"), ("birthdate", "90. 1. 2일")}
+    assert {x for k, x in by["b"] if k == "name"} >= {"그리고", "이나라"} and "응우옌" not in {x for _, x in by["b"]}
+    assert by[None] == {("name", "김솔"), ("name", "이나라")}
+    clean = {x.file: x.text for x in P.sanitised(t, found).collect()}
+    assert clean["a"] == "[이름] 씨와 [이름], 그리고 [이름], [이름]이랑 Bobby. 대표번호 [전화번호], 생일 [생년월일], 주문 15881234567. 하이나라 [이름]"
+
+
+def test_many_known_values_of_a_file(spark, monkeypatch):
+    monkeypatch.setattr(P, "PART_VALUES", 7)
+    syllables = "가나다라마바사아자차카타파하"
+    names = [a + b + c for a in syllables for b in syllables for c in "렬률"]
+    text = " ".join(names)
+    t, i, r = tables(spark, [("a", text)], [("a", names, None, None)])
+    rows = P.mentions(t, i, r).collect()
+    assert sorted(m.start_pos for m in rows) == [4 * n for n in range(len(names))] and {m.route for m in rows} == {"known"}
+
+
+def test_routes(spark):
+    texts, info = corpus(spark)
+    t, i, r = tables(spark, texts + [("p", "010-1234-5678")], info)
+    assert {m.route for m in P.mentions(t, i, r).collect()} == {"shape", "known", "information"}
