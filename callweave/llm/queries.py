@@ -98,6 +98,11 @@ def p6_sanitised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.sanitised(tables[0], personal.mentions(*tables))
 
 
+def p6_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many mentions of each kind were found by their shape, a known value, or information."""
+    return personal.mentions(*_personal(spark, sf_dir)).groupBy("kind", "route").agg(F.count(F.lit(1)).alias("mentions"))
+
+
 def p6_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts, info, registry = _personal(spark, sf_dir)
     return personal.context_bits(personal.found_candidates(texts, personal.known_values(info, registry)), "right")
@@ -145,7 +150,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     p1_found, p1_ledger, p1_ablation, p2_found, p2_rates, p2_limits, p3_found, p3_pieces, p4_found, p4_turns,
-    p6_found, p6_sanitised, p6_contexts, p7_ids, p7_tokens_by_source, p8_found, p8_items, p9_found, p9_shares,
+    p6_found, p6_sanitised, p6_routes, p6_contexts, p7_ids, p7_tokens_by_source, p8_found, p8_items, p9_found, p9_shares,
 )}
 
 ORACLES = {
@@ -178,4 +183,26 @@ ORACLES = {
         )
         SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM k a JOIN k b ON a.span = b.span AND a.doc_id < b.doc_id
     """,
+    "p9_shares": """
+        WITH c AS (
+            SELECT min(doc_id) AS rep, count(DISTINCT doc_id) AS copies, text FROM documents WHERE length(text) >= 250 GROUP BY text
+        ), g AS (
+            SELECT rep, i, substr(text, i, 250) AS span FROM (SELECT rep, text, unnest(range(1, length(text) - 248)) AS i FROM c)
+        ), s AS (
+            SELECT span FROM g GROUP BY span HAVING count(DISTINCT rep) > 1
+        ), k AS (
+            SELECT g.* FROM g SEMI JOIN s USING (span)
+        ), u AS (
+            SELECT rep, least(250, coalesce(lead(i) OVER (PARTITION BY rep ORDER BY i) - i, 250)) AS own FROM k
+        ), v AS (
+            SELECT rep, sum(own) AS covered FROM u GROUP BY rep
+        ), d AS (
+            SELECT DISTINCT rep, span FROM k
+        ), l AS (
+            SELECT a.rep, count(DISTINCT b.rep) AS links FROM d a JOIN d b ON a.span = b.span AND a.rep <> b.rep GROUP BY a.rep
+        )
+        SELECT c.rep, copies, coalesce(links, 0) AS links, CAST(CASE WHEN copies > 1 THEN length(text) ELSE covered END AS BIGINT) AS shared_chars, length(text) AS n_chars,
+               CASE WHEN copies > 1 THEN length(text) ELSE covered END / length(text) AS share
+        FROM c LEFT JOIN v USING (rep) LEFT JOIN l USING (rep) WHERE copies > 1 OR covered IS NOT NULL
+    """,
 }

@@ -10,9 +10,13 @@
    hashed instead and only equal spans meet, so an announcement shorter than `least` pairs nobody, however
    common it is, and a longer one pairs only those that do share it. Only the first and the last span of what two
    texts share in a row meet; the anchor is the whole run.
-4. Anchors of a pair are chained in the order of both texts, with gap costs, by a Fenwick tree of prefix maxima.
+4. Anchors of a pair that overlap on one diagonal are one. They are chained in the order of both texts by the best
+   sum of sizes less the costs of gaps, which Fenwick trees of prefix maxima give: one for steps that shift the
+   diagonal to one side, one for those that shift it to the other.
 5. Each chain is aligned in the passages of the two texts that it touches: exact spans come from extending
    its anchors character by character, the fuzzy passage from aligning the gaps between them.
+6. Shares of texts need no pairs where many texts hold the same spans: such spans are counted by their content, what
+   they cover is a union of places, and links come from groups of texts that hold the same sets of them.
 
 Nothing is broadcast and nothing grows on the driver. Texts are shuffled once, the passages of pairs once more.
 
@@ -22,12 +26,14 @@ texts form a class and share all of themselves; a doc_id that occurs twice doesn
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.intervals import union_length
@@ -38,7 +44,7 @@ K = 128
 HOT = 32
 #: A gap of a chain costs this much per character that the two sides differ in length, and per character skipped.
 GAP_COST, SKIP_COST = 0.5, 0.05
-#: Anchors further apart than this start another chain.
+#: A chain is cut where its anchors lie further apart than this.
 MAX_GAP = 600
 #: Texts are hashed in pieces of about this many characters.
 PIECE_CHARS = 400_000
@@ -171,41 +177,44 @@ def _meet(shared: DataFrame) -> DataFrame:
     return left.join(right, (F.col("kmer") == F.col("other")) & (F.col("doc_a") < F.col("doc_b"))).select("doc_a", "doc_b", "pos_a", "pos_b")
 
 
-def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT, shared: DataFrame | None = None) -> DataFrame:
-    """(doc_a, doc_b, pos_a, pos_b, size): equal k-mers (or, of hot k-mers, runs of equal spans of `least`) of two classes.
+def hot_windows(df: DataFrame, shared: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT, once: bool = False) -> DataFrame:
+    """(kmer, doc, pos, before, behind): the spans of `least` around hot k-mers by their hash, all of them or each content of a text once.
 
-    shared: the table of `shared_seeds`, where it's written already. Of a hot span that a text holds several times
-    the first place meets the others' first; `repeated_spans` has the rest.
+    before, behind: the spans next to them, where those are listed too.
     """
-    shared = shared_seeds(df, key, text, least, k) if shared is None else shared
-    cold = _meet(shared.where(F.col("n") <= hot)).withColumn("size", F.lit(k))
     places = shared.where(F.col("n") > hot).groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("places"))
     texts = df.where(F.length(text) >= least).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
     side = least - k
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kmers, docs, found, follows, leads = [], [], [], [], []
-            for doc, text_, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                codes = codes_of(text_)
-                every = window_hashes(codes, least)
+            for doc, text_, at in zip(*(c.to_pylist() for c in batch.columns)):
+                every = window_hashes(codes_of(text_), least).astype(np.int64)
                 begin = _near(at, len(every), side)
-                _, first = np.unique(every[begin], return_index=True)
-                begin = np.sort(begin[first])  # each content once
+                if once:
+                    begin = np.sort(begin[np.unique(every[begin], return_index=True)[1]])
+                found = every[begin]
                 next_to = np.diff(begin) == 1
-                kmers.append(every[begin].astype(np.int64))
-                found.append(begin.astype(np.int32))
-                docs.append(np.full(len(begin), doc, dtype=np.int64))
-                # the content of the places before and behind, where they're spans too
-                follows.append(np.concatenate([np.zeros(min(1, len(begin)), bool), next_to]))
-                leads.append(np.concatenate([next_to, np.zeros(min(1, len(begin)), bool)]))
-            kmer, doc, pos, follow, lead = (np.concatenate(x) if x else np.empty(0, t) for x, t in ((kmers, np.int64), (docs, np.int64), (found, np.int32), (follows, bool), (leads, bool)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kmer), pa.array(doc), pa.array(pos), pa.array(np.roll(kmer, 1), mask=~follow), pa.array(np.roll(kmer, -1), mask=~lead)],
-                names=["kmer", "doc", "pos", "before", "behind"],
-            )
+                follow, lead = np.append(False, next_to)[: len(begin)], np.append(next_to, False)[: len(begin)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found), pa.array(np.full(len(begin), doc, dtype=np.int64)), pa.array(begin.astype(np.int32)), pa.array(np.roll(found, 1), mask=~follow), pa.array(np.roll(found, -1), mask=~lead)],
+                    names=["kmer", "doc", "pos", "before", "behind"],
+                )
+
+    return texts.join(places, "doc").select("doc", "t", "places").mapInArrow(spans, "kmer long, doc long, pos int, before long, behind long")
 
-    windows = texts.join(places, "doc").select("doc", "t", "places").mapInArrow(spans, "kmer long, doc long, pos int, before long, behind long").dropDuplicates(["kmer", "doc"])
+
+def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT, shared: DataFrame | None = None, with_hot: bool = True) -> DataFrame:
+    """(doc_a, doc_b, pos_a, pos_b, size): equal k-mers (or, of hot k-mers, runs of equal spans of `least`) of two classes.
+
+    shared: the table of `shared_seeds`, where it's written already. Of a hot span that a text holds several times
+    the first place meets the others' first. with_hot: k-mers of many classes too.
+    """
+    shared = shared_seeds(df, key, text, least, k) if shared is None else shared
+    cold = _meet(shared.where(F.col("n") <= hot)).withColumn("size", F.lit(k))
+    if not with_hot:
+        return cold
+    windows = hot_windows(df, shared, key, text, least, k, hot, once=True).dropDuplicates(["kmer", "doc"])
     # a span that all its texts hold between the same neighbours neither begins nor ends a run of any two of them
     differ = " or ".join(f"count({c}) < count(*) or min({c}) < max({c})" for c in ("before", "behind"))
     edges = windows.groupBy("kmer").agg(F.expr(f"count(*) > 1 and ({differ})").alias("edge")).where("edge").select("kmer")
@@ -225,54 +234,87 @@ def anchors(df: DataFrame, key: str = "doc_id", text: str = "text", least: int =
 
 
 class Fenwick:
-    """Prefix maxima of (score, anchor)."""
+    """Prefix maxima of (score, anchor) in one or more dimensions; cells are made as they are needed."""
 
-    def __init__(self, n: int):
-        self.best = [(0.0, -1)] * (n + 1)
+    def __init__(self, *sizes: int):
+        self.sizes = sizes
+        self.best: dict[tuple[int, ...], tuple[float, int]] = {}
 
-    def add(self, i: int, entry: tuple[float, int]) -> None:
+    @staticmethod
+    def _up(i: int, n: int) -> Iterator[int]:
         i += 1
-        while i < len(self.best):
-            if entry > self.best[i]:
-                self.best[i] = entry
+        while i <= n:
+            yield i
             i += i & -i
 
-    def upto(self, i: int) -> tuple[float, int]:
-        found = (0.0, -1)
+    @staticmethod
+    def _down(i: int) -> Iterator[int]:
         i += 1
         while i > 0:
-            found = max(found, self.best[i])
+            yield i
             i -= i & -i
-        return found
+
+    def add(self, at: tuple[int, ...], entry: tuple[float, int]) -> None:
+        for cell in product(*(self._up(i, n) for i, n in zip(at, self.sizes))):
+            if entry > self.best.get(cell, NO_ANCHOR):
+                self.best[cell] = entry
+
+    def upto(self, at: tuple[int, ...]) -> tuple[float, int]:
+        return max((self.best.get(cell, NO_ANCHOR) for cell in product(*map(self._down, at))), default=NO_ANCHOR)
+
+
+NO_ANCHOR = (float("-inf"), -1)
+
+
+def runs_of(found: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Anchors (pos_a, pos_b, size) with those that overlap or touch on one diagonal as one, in the order of pos_a."""
+    out: list[list[int]] = []
+    for a, b, size in sorted(set(found), key=lambda x: (x[0] - x[1], x[0])):
+        if out and out[-1][0] - out[-1][1] == a - b and a <= out[-1][0] + out[-1][2]:
+            out[-1][2] = max(out[-1][2], a + size - out[-1][0])
+        else:
+            out.append([a, b, size])
+    return sorted(tuple(r) for r in out)
 
 
-def chains(found: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
-    """Anchors (pos_a, pos_b, size) as chains that ascend in both texts, the best first; each anchor is in one.
+def chains(found: Iterable[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Anchors (pos_a, pos_b, size) as chains that ascend in both texts without overlaps, the best first; each run of anchors is in one.
 
-    An anchor's score is its size, and a step from one to the next costs SKIP_COST for each character between
-    them. That cost is a difference of end and start, so the best predecessor is a prefix maximum over pos_b; a
-    step that also shifts the diagonal pays GAP_COST a character and is cut where that outweighs what it joins.
+    A chain is worth its sizes less, for each step, SKIP_COST per character skipped on the side that skips more and
+    GAP_COST per character by which the diagonal shifts. For a step that doesn't shift it to lower diagonals the
+    cost is a difference of a term of the one anchor and a term of the other, and the anchors before are those with a
+    lower end in b and no higher diagonal: a prefix in two dimensions. For a step to a lower diagonal the end in a,
+    in whose order anchors are added, and the diagonal suffice. So the best predecessor is the better of two prefix
+    maxima. In the end chains are cut at gaps of more than MAX_GAP.
     """
-    order = sorted(set(found))
-    ranks = {b: r for r, b in enumerate(sorted({b for _, b, _ in order}))}
-    tree = Fenwick(len(ranks))
+    order = runs_of(found)
+    diagonal = [a - b for a, b, _ in order]
+    rank = {d: r for r, d in enumerate(sorted(set(diagonal)))}
+    ends_b = sorted({b + size for _, b, size in order})
+    level, higher = Fenwick(len(rank), len(ends_b)), Fenwick(len(rank))
     score, before = [0.0] * len(order), [-1] * len(order)
+    by_end = sorted(range(len(order)), key=lambda i: order[i][0] + order[i][2])
+    added = 0
     for i, (a, b, size) in enumerate(order):
-        lean, j = tree.upto(ranks[b] - 1) if ranks[b] else (0.0, -1)
-        score[i] = float(size)
-        if j >= 0:
+        while added < len(by_end) and order[j := by_end[added]][0] + order[j][2] <= a:
             pa_, pb, psize = order[j]
-            skip, shift = max(0, max(a - pa_, b - pb) - psize), abs((a - pa_) - (b - pb))
-            gain = score[j] - SKIP_COST * skip - GAP_COST * shift
-            if gain > 0 and pa_ < a and skip <= MAX_GAP:
-                score[i] += gain - max(0, psize - min(a - pa_, b - pb))
-                before[i] = j
-        tree.add(ranks[b], (score[i] + SKIP_COST * (a + b) / 2, i))
+            level.add((rank[diagonal[j]], bisect_left(ends_b, pb + psize)), (score[j] + SKIP_COST * (pa_ + psize) + GAP_COST * diagonal[j], j))
+            higher.add((len(rank) - 1 - rank[diagonal[j]],), (score[j] + SKIP_COST * (pb + psize) - GAP_COST * diagonal[j], j))
+            added += 1
+        up, j_up = level.upto((rank[diagonal[i]], bisect_right(ends_b, b) - 1))
+        down, j_down = higher.upto((len(rank) - 2 - rank[diagonal[i]],))
+        gain, j = max((up - SKIP_COST * a - GAP_COST * diagonal[i], j_up), (down - SKIP_COST * b + GAP_COST * diagonal[i], j_down))
+        score[i] = size + max(0.0, gain)
+        before[i] = j if gain > 0 else -1
     used, out = [False] * len(order), []
     for i in sorted(range(len(order)), key=lambda x: -score[x]):
-        chain = []
+        chain: list[tuple[int, int, int]] = []
         while i >= 0 and not used[i]:
             used[i] = True
+            a, b, size = order[i]
+            if chain and max(chain[-1][0] - a, chain[-1][1] - b) - size > MAX_GAP:
+                out.append(chain[::-1])
+                chain = []
             chain.append(order[i])
             i = before[i]
         if chain:
@@ -318,7 +360,7 @@ def align(a: str, b: str, chain: list[tuple[int, int, int]], least: int) -> tupl
     return exact, a0, a1 + s1, b0, b1 + s1, equal / max(a1 + s1 - a0, b1 + s1 - b0)
 
 
-def passages(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT, shared: DataFrame | None = None) -> DataFrame:
+def passages(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT, shared: DataFrame | None = None, with_hot: bool = True) -> DataFrame:
     """Chains of pairs of classes: (doc_a, doc_b, start_a, end_a, start_b, end_b, identity, longest, spans).
 
     spans: the exact spans (start_a, start_b, size) of at least `least` characters; longest: the size of the
@@ -340,7 +382,7 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text", least: int
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=["doc", "doc_a", "doc_b", "chain", "side", "low", "size", "steps"])
 
-    links = anchors(df, key, text, least, k, hot, shared).groupBy("doc_a", "doc_b").agg(F.collect_set(F.struct("pos_a", "pos_b", "size")).alias("found"))
+    links = anchors(df, key, text, least, k, hot, shared, with_hot).groupBy("doc_a", "doc_b").agg(F.collect_set(F.struct("pos_a", "pos_b", "size")).alias("found"))
     wanted = links.mapInArrow(chained, f"doc long, {pair}, side int, low int, size int, steps array<int>")
     texts = df.where(F.length(text) >= least).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
     cut = wanted.join(texts, "doc").select("doc_a", "doc_b", "chain", "side", "low", "steps", F.substring(F.col("t"), F.col("low") + 1, F.col("size")).alias("part"))
@@ -404,33 +446,49 @@ def repeated_seeds(df: DataFrame, key: str = "doc_id", text: str = "text", least
     return slim.mapInArrow(sown, "doc long, pos int, again int").distinct()
 
 
-def repeated_spans(df: DataFrame, shared: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
-    """(doc, first, again, size): runs of spans around hot k-mers of `shared` that a text holds at `first` and again.
+def common_runs(df: DataFrame, shared: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
+    """(doc, group struct<n, x, y>, start, size): runs of spans around hot k-mers that one set of several texts holds.
 
-    The first place of a span is the one that `anchors` pairs: its k-mer has no place with equal surroundings before it.
+    group: that set, by its size and two hashes of its members. Every place of a span counts; nothing is paired.
     """
-    several = shared.where(F.col("n") > hot).groupBy("doc", "kmer").agg(F.collect_set("pos").alias("at")).where(F.size("at") > 1)
-    # written, so that the planner knows how few they are and needn't shuffle the texts for them
-    places = written(several.groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("places")))
-    texts = df.where(F.length(text) >= least).select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
-    side = least - k
+    windows = hot_windows(df, shared, key, text, least, k, hot).groupBy("kmer", "doc").agg(F.collect_set("pos").alias("places"))
+    members = windows.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64(F.col("doc"), F.lit(1))).alias("y")).where("n > 1")
+    placed = windows.join(members, "kmer").select("doc", F.explode("places").alias("pos"), F.struct("n", "x", "y").alias("group"))
+    order = Window.partitionBy("doc").orderBy("pos")
+    opens = F.when((F.lag("group").over(order) == F.col("group")) & (F.lag("pos").over(order) == F.col("pos") - 1), 0).otherwise(1)
+    runs = placed.withColumn("_o", opens).withColumn("_run", F.sum("_o").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("doc", "_run").agg(F.first("group").alias("group"), F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + least).alias("size")).drop("_run")
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple[int, int, int, int]] = []
-            for doc, t, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                every = window_hashes(codes_of(t), least)
-                begin = _near(at, len(every), side)
-                _, first, which = np.unique(every[begin], return_index=True, return_inverse=True)
-                first = begin[first][which]
-                begin, first = begin[begin > first], first[begin > first]
-                starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(begin)), bool), (np.diff(begin) != 1) | (np.diff(first) != 1)]))
-                sizes = np.diff(np.concatenate([starts, [len(begin)]])) + least - 1
-                rows += [(doc, int(first[i]), int(begin[i]), int(n)) for i, n in zip(starts, sizes)]
-            columns = list(zip(*rows)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, (pa.int64(), *[pa.int32()] * 3))], names=["doc", "first", "again", "size"])
 
-    return texts.join(places, "doc").select("doc", "t", "places").mapInArrow(runs, "doc long, first int, again int, size int").distinct()
+def common_links(runs: DataFrame, pairs: DataFrame, least: int = LEAST, hot: int = HOT) -> DataFrame:
+    """(rep, links): how many other texts share a run of `runs` or are listed in pairs (rep, other), without pairing large groups.
+
+    A group next to which all its members hold one larger group links nobody besides, and is left out. Groups of at
+    most `hot` texts are paired. Texts that hold the same larger groups have the same links by them, so these sets of
+    groups meet instead of the texts, and a pair counts only if its two sets have no group in common.
+    """
+    order = Window.partitionBy("doc").orderBy("start")
+    row = F.struct("group", "start", "size")
+    beside = runs.withColumns({"_l": F.lag(row).over(order), "_r": F.lead(row).over(order)})
+    left = F.when(F.col("_l.start") + F.col("_l.size") - least + 1 == F.col("start"), F.col("_l.group"))
+    right = F.when(F.col("start") + F.col("size") - least + 1 == F.col("_r.start"), F.col("_r.group"))
+    next_to = beside.select("doc", "group", F.explode(F.array(left, right)).alias("larger")).where("larger.n > group.n").distinct()
+    within = next_to.groupBy("group", "larger").agg(F.count(F.lit(1)).alias("m")).where("m = group.n").select("group").distinct()
+    held = written(runs.select("doc", "group").distinct().join(within, "group", "left_anti"))
+    few = held.where(F.col("group.n") <= hot)
+    met = few.select("group", F.col("doc").alias("rep")).join(few.select("group", F.col("doc").alias("other")), "group").where("rep <> other").select("rep", "other")
+    sets = held.where(F.col("group.n") > hot).groupBy("doc").agg(F.sort_array(F.collect_set("group")).alias("groups")).withColumn("set", F.md5(F.to_json("groups")))
+    sizes = written(sets.groupBy("set").agg(F.count(F.lit(1)).alias("m"), F.first("groups").alias("groups")))
+    each = sizes.select("set", "m", F.explode("groups").alias("group"))
+    near = written(each.select("set", "group").join(each.select(F.col("set").alias("near"), "m", "group"), "group").select("set", "near", "m").distinct())
+    of = sets.select(F.col("doc").alias("_d"), "set")
+    many = of.join(near.groupBy("set").agg((F.sum("m") - 1).alias("many")), "set").select(F.col("_d").alias("rep"), "many")
+    listed = pairs.select("rep", "other").unionByName(met).distinct()
+    for side in ("rep", "other"):
+        listed = listed.join(of.withColumnRenamed("set", f"{side}_set"), F.col(side) == F.col("_d"), "left").drop("_d")
+    apart = listed.join(near.select(F.col("set").alias("rep_set"), F.col("near").alias("other_set")), ["rep_set", "other_set"], "left_anti")
+    each_pair = apart.groupBy("rep").agg(F.count(F.lit(1)).alias("pairs"))
+    return each_pair.join(many, "rep", "full_outer").select("rep", (F.coalesce("pairs", F.lit(0)) + F.coalesce("many", F.lit(0))).alias("links"))
 
 
 def shared_shares(df: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, k: int = K, hot: int = HOT) -> DataFrame:
@@ -439,25 +497,22 @@ def shared_shares(df: DataFrame, key: str = "doc_id", text: str = "text", least:
     share: the part of its characters that lie in exact spans of `least` characters or more that also stand in a
     text of another class; 1.0 for a text with copies. links: other classes that it shares a span with.
     """
-    seeds_ = written(shared_seeds(df, key, text, least, k))  # for the passages and for what their texts repeat
-    found = written(passages(df, key, text, least, k, hot, seeds_).where(F.col("longest") >= least)).select("doc_a", "doc_b", F.explode("spans").alias("s"))
+    seeds_ = written(shared_seeds(df, key, text, least, k))  # for the passages and for the spans of many texts
+    found = written(passages(df, key, text, least, k, hot, seeds_, with_hot=False).where(F.col("longest") >= least)).select("doc_a", "doc_b", F.explode("spans").alias("s"))
     sides = found.select(F.col("doc_a").alias("rep"), F.col("doc_b").alias("other"), F.col("s.start_a").alias("start"), F.col("s.size").alias("size")).unionByName(
         found.select(F.col("doc_b").alias("rep"), F.col("doc_a").alias("other"), F.col("s.start_b").alias("start"), F.col("s.size").alias("size"))
     )
-    # what a text holds of a hot span at its first place stands again at the others
-    copied = repeated_spans(df, seeds_, key, text, least, k, hot).withColumnRenamed("size", "run")
-    low, high = F.greatest("start", "first"), F.least(F.col("start") + F.col("size"), F.col("first") + F.col("run"))
-    more = sides.join(copied, (F.col("rep") == F.col("doc")) & (high - low >= least)).select("rep", "other", (low + F.col("again") - F.col("first")).alias("start"), (high - low).alias("size"))
-    sides = sides.unionByName(more)
+    common = written(common_runs(df, seeds_, key, text, least, k, hot))
+    places = sides.select("rep", "start", "size").unionByName(common.select(F.col("doc").alias("rep"), "start", "size"))
     side = least - k
     again = repeated_seeds(df, key, text, least, k)
     # what a seed's surroundings hold of a span stands again where the seed does
     inside = (F.col("rep") == F.col("doc")) & (F.col("pos") >= F.col("start")) & (F.col("pos") + k <= F.col("start") + F.col("size"))
     low, high = F.greatest(F.col("start"), F.col("pos") - side), F.least(F.col("start") + F.col("size"), F.col("pos") + k + side)
-    more = sides.select("rep", "other", "start", "size").join(again, inside).select("rep", "other", (low + F.col("again") - F.col("pos")).alias("start"), (high - low).alias("size"))
-    sides = sides.unionByName(more)
-    covered = union_length(sides.select("rep", "start", (F.col("start") + F.col("size")).alias("end")), ["rep"])
-    links = sides.groupBy("rep").agg(F.countDistinct("other").alias("links"))
+    more = places.join(again, inside).select("rep", (low + F.col("again") - F.col("pos")).alias("start"), (high - low).alias("size"))
+    places = places.unionByName(more)
+    covered = union_length(places.select("rep", "start", (F.col("start") + F.col("size")).alias("end")), ["rep"])
+    links = common_links(common, sides, least, hot)
     sizes = classes(df, key, text, least).groupBy("rep").agg(F.max("n").alias("copies"))
     texts = df.where(F.length(text) >= least).select(F.col(key).cast("long").alias("rep"), F.length(text).alias("n_chars")).dropDuplicates(["rep"])
     joined = covered.join(links, "rep").join(sizes, "rep", "full_outer").join(texts, "rep")

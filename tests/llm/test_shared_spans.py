@@ -70,43 +70,55 @@ def test_loops_give_few_seeds():
     assert len(places) < 400 and len(again) > 10_000
 
 
-def best_chain(found):
-    """The best score of a chain by trying all predecessors."""
-    order = sorted(set(found))
-    score = []
+def worth(chain):
+    """The sizes of a chain less the costs of its steps."""
+    total = sum(size for _, _, size in chain)
+    for (a, b, size), (a2, b2, _) in zip(chain, chain[1:]):
+        total -= S.SKIP_COST * (max(a2 - a, b2 - b) - size) + S.GAP_COST * abs((a2 - a) - (b2 - b))
+    return total
+
+
+def best_worth(found):
+    """The best worth of a chain by trying all predecessors."""
+    order, score = S.runs_of(found), []
     for i, (a, b, size) in enumerate(order):
-        best = 0.0
-        for j in range(i):
-            pa, pb, ps = order[j]
-            if pa < a and pb < b:
-                skip = max(0, max(a - pa, b - pb) - ps)
-                gain = score[j] - S.SKIP_COST * skip - S.GAP_COST * abs((a - pa) - (b - pb))
-                if gain > 0 and skip <= S.MAX_GAP:
-                    best = max(best, gain - max(0, ps - min(a - pa, b - pb)))
-        score.append(size + best)
+        before = [score[j] - S.SKIP_COST * (max(a - pa, b - pb) - ps) - S.GAP_COST * abs((a - pa) - (b - pb)) for j, (pa, pb, ps) in enumerate(order[:i]) if pa + ps <= a and pb + ps <= b]
+        score.append(size + max([0.0, *before]))
     return max(score, default=0)
 
 
-def test_chains_are_ordered_and_hold_each_anchor_once():
-    for _ in range(100):
-        found = [(RNG.randint(0, 400), RNG.randint(0, 400), 32) for _ in range(RNG.randint(1, 25))]
+@pytest.mark.parametrize("size,reach", [(32, 400), (5, 120), (40, 2000)])
+def test_chains_are_ordered_hold_each_run_once_and_are_best(size, reach):
+    for _ in range(150):
+        found = [(RNG.randint(0, reach), RNG.randint(0, reach), size) for _ in range(RNG.randint(1, 25))]
+        if RNG.random() < 0.5:  # some on few diagonals
+            found = [(a, max(0, a + RNG.choice([0, 3, -40])), n) for a, _, n in found]
         chains = S.chains(found)
-        assert sorted(a for c in chains for a in c) == sorted(set(found))
+        assert sorted(a for c in chains for a in c) == S.runs_of(found)
         for chain in chains:
-            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(chain, chain[1:]))
-    line = [(10 * i, 10 * i + 5, 32) for i in range(20)]
-    assert S.chains(line) == [line]
-    assert len(S.chains(line)[0]) * 10 <= best_chain(line)
+            assert all(p[0] + p[2] <= q[0] and p[1] + p[2] <= q[1] for p, q in zip(chain, chain[1:]))
+            assert all(max(q[0] - p[0], q[1] - p[1]) - p[2] <= S.MAX_GAP for p, q in zip(chain, chain[1:]))
+        if reach <= S.MAX_GAP:
+            assert max(map(worth, chains)) == pytest.approx(best_worth(found))
+
+
+def test_anchors_on_one_diagonal_are_a_run():
+    assert S.chains([(10 * i, 10 * i + 5, 32) for i in range(20)]) == [[(0, 5, 222)]]
+    # the nearest anchor before isn't the best one
+    found = [(0, 0, 128), (130, 130, 128), (260, 260, 128), (300, 20, 128), (440, 160, 128)]
+    assert S.chains(found) == [[(0, 0, 128), (130, 130, 128), (260, 260, 128)], [(300, 20, 128), (440, 160, 128)]]
 
 
 def test_fenwick_tree():
-    tree, plain = S.Fenwick(50), {}
-    for _ in range(300):
-        i, v = RNG.randrange(50), RNG.random()
-        tree.add(i, (v, i))
-        plain[i] = max(plain.get(i, (0.0, -1)), (v, i))
-        at = RNG.randrange(50)
-        assert tree.upto(at) == max([(0.0, -1), *(e for j, e in plain.items() if j <= at)])
+    for shape in ((50,), (9, 7)):
+        tree, plain = S.Fenwick(*shape), {}
+        for _ in range(300):
+            i, v = tuple(map(RNG.randrange, shape)), RNG.random()
+            tree.add(i, (v, 1))
+            plain[i] = max(plain.get(i, S.NO_ANCHOR), (v, 1))
+            at = tuple(map(RNG.randrange, shape))
+            assert tree.upto(at) == max([S.NO_ANCHOR, *(e for j, e in plain.items() if all(x <= y for x, y in zip(j, at)))])
+    assert S.Fenwick(3).upto((-1,)) == S.NO_ANCHOR
 
 
 def test_fuzzy_passages_and_shares(spark):
@@ -166,7 +178,7 @@ def test_a_long_common_passage_counts_in_full(spark, hot):
     long, other = text(1000), text(200)
     docs = [(i, text(RNG.randint(0, 60)) + long[RNG.choice([0, 0, 150]) : RNG.choice([700, 1000, 1000])] + text(30) + (other if i % 3 else "")) for i in range(8)]
     assert shares(spark, docs, hot) == covered(docs, 60)
-    whole = [(1, text(20) + long), (2, text(30) + long), (3, text(10) + long)]
+    whole = [(1, text(20) + "1" + long), (2, text(30) + "2" + long), (3, text(10) + "3" + long)]
     assert {r.longest for r in S.passages(frame(spark, whole), least=60, k=32, hot=hot).collect()} == {1000}
 
 
@@ -185,6 +197,26 @@ def test_a_common_passage_counts_at_every_place(spark, hot):
     assert shares(spark, docs, hot) == covered(docs, 60)
 
 
+@pytest.mark.parametrize("hot", [1, 3, 1000])
+def test_links_of_groups_are_those_of_pairs(spark, hot):
+    said, other, third = text(200), text(150), text(120)
+    docs = [(i, text(20) + said[: 60 + 20 * (i % 7)] + text(15) + (other if i % 3 else third) + text(10)) for i in range(14)]
+    docs += [(20, said[100:] + text(9)), (21, other[:90] + "끝" + third), (22, third[30:] + text(70)), (23, text(300))]
+    docs += [(30 + i, text(80) + docs[i][1][-70:]) for i in range(5)]
+    assert shares(spark, docs, hot) == covered(docs, 60)
+
+
+def test_common_spans_make_rows_in_proportion_to_texts(spark):
+    said = text(400)
+    sizes = []
+    for n in (50, 100, 200):
+        df = frame(spark, [(i, text(30) + chr(0x4E00 + i) + said + chr(0x4E00 + i) + text(30)) for i in range(n)])
+        seeds = S.shared_seeds(df)
+        assert S.anchors(df, shared=seeds, with_hot=False).count() == 0
+        sizes.append(S.common_runs(df, seeds).count())
+    assert sizes == [50, 100, 200]
+
+
 def test_empty_table(spark):
     assert S.sharing_pairs(frame(spark, [(1, None)]).limit(0)).count() == 0
     assert S.sharing_pairs(frame(spark, [(1, None), (2, "")])).count() == 0
@@ -192,3 +224,4 @@ def test_empty_table(spark):
 
 def test_same_pairs_as_sql(spark, small):
     assert rows_of(queries.p9_found(spark, small)) == rows_of_sql(queries.ORACLES["p9_found"], small)
+    assert rows_of(queries.p9_shares(spark, small)) == rows_of_sql(queries.ORACLES["p9_shares"], small)
