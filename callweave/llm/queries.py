@@ -125,8 +125,7 @@ def p7_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = leakage.read_items(spark, table(spark, sf_dir, "eval_items"))
-    return leakage.leaks(table(spark, sf_dir, "documents"), items)
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +133,19 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _leaks(spark, sf_dir).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.count_if(F.col("held") == 1).alias("in_full"), F.max("held").alias("most_held"))
+    return _leaks(spark, sf_dir).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.count_distinct(F.when(F.col("held") == 1, F.col("doc_id"))).alias("in_full"), F.max("held").alias("most_held"))
+
+
+def p8_in_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in which a whole item stands letter for letter."""
+    return _leaks(spark, sf_dir).where("whole").select("doc_id", "item_id").distinct()
+
+
+def p8_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of items."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("before"))
+    cleaned = leakage.without_passages(documents, _leaks(spark, sf_dir))
+    return cleaned.select("doc_id", "text", (F.col("before") - F.length("text")).alias("removed"))
 
 
 # --- 9: long exact spans shared ---
@@ -150,9 +161,15 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     p1_found, p1_ledger, p1_ablation, p2_found, p2_rates, p2_limits, p3_found, p3_pieces, p4_found, p4_turns,
-    p6_found, p6_sanitised, p6_routes, p6_contexts, p7_ids, p7_tokens_by_source, p8_found, p8_items, p9_found, p9_shares,
+    p6_found, p6_sanitised, p6_routes, p6_contexts, p7_ids, p7_tokens_by_source, p8_found, p8_items, p8_in_full, p8_cleaned, p9_found, p9_shares,
 )}
 
+_SPACE = r"\s\x{1c}-\x{1f}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# labels are matched with the space before them, twice, as two of them may share one
+_COMPACT = "regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]', '', 'g')".format(
+    f"regexp_replace(regexp_replace(text, '(?i)(^|[{_SPACE}]){leakage.LABEL}[{_SPACE}]?[:：]', '\\1 ', 'g'), '(?i)(^|[{_SPACE}]){leakage.LABEL}[{_SPACE}]?[:：]', '\\1 ', 'g')"
+)
+
 ORACLES = {
     "p1_found": r"""
         WITH t AS (
@@ -173,6 +190,10 @@ ORACLES = {
         FROM (SELECT 'text_files' AS origin, file, text FROM text_files UNION ALL SELECT 'diarization', file, text FROM diarization)
         WHERE length(text) > 1000
     """,
+    "p8_in_full": f"""
+        WITH d AS (SELECT doc_id, {_COMPACT} AS t FROM documents WHERE text IS NOT NULL), i AS (SELECT DISTINCT item_id, {_COMPACT} AS t FROM eval_items WHERE text IS NOT NULL)
+        SELECT DISTINCT doc_id, item_id FROM d JOIN i ON contains(d.t, i.t) WHERE i.t <> ''
+    """,
     "p9_found": """
         WITH g AS (
             SELECT DISTINCT doc_id, substr(text, i, 250) AS span FROM (SELECT doc_id, text, unnest(range(1, length(text) - 248)) AS i FROM documents WHERE length(text) >= 250)
