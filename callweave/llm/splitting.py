@@ -12,7 +12,7 @@ piece); whitespace is every Unicode space; lengths and offsets count code points
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIMIT = 1000
@@ -64,19 +64,32 @@ def with_offsets(df: DataFrame, parts: str, name: str) -> DataFrame:
     return stepped.withColumn(name, F.flatten(F.transform("_blocks", inside))).drop("_lengths", "_blocks", "_sums", "_bases")
 
 
+def _longest_stretch(cores: Column) -> Column:
+    """The most characters without a natural boundary that lie across cuts: behind the last one of a core, in cores without any, before the next one."""
+    head = lambda c: F.length(F.regexp_extract(c, rf"(?U)^[^\s{ENDS}]*", 0))
+
+    def step(state: Column, c: Column) -> Column:
+        lead = head(c)
+        most = F.greatest(state["most"], state["open"] + lead)
+        return F.struct(F.when(lead == F.length(c), state["open"] + lead).otherwise(head(F.reverse(c))).alias("open"), most.alias("most"))
+
+    return F.aggregate(cores, F.struct(F.lit(0).alias("open"), F.lit(0).alias("most")), step)["most"]
+
+
 def split_texts(
     df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("file",), limit: int = LIMIT, overlap_least: int = OVERLAP_LEAST, overlap_most: int = OVERLAP_MOST, keep_short: bool = False
 ) -> DataFrame:
     """(keep, piece, start, end, boundary, overlap, content, unbroken): the pieces of each text, in order.
 
     start, end: offsets of the piece; overlap: how many of its characters the piece before also holds; boundary:
-    what it ends at (line, sentence, word, end, character); unbroken: the text holds a stretch of more than `limit`
-    characters without whitespace and without an end of a sentence, so some cut can't be natural.
+    what it ends at (line, sentence, word, end, character); unbroken: between two natural boundaries of the text lie
+    more than `limit` characters, so some cut can't be natural. Such a stretch is longer than a piece, so it is put
+    together from what lies between the cuts and the boundaries next to them.
     """
     whole = df.select(*keep, F.col(text).alias("_text"))
     kept = whole.where(F.col("_text").isNotNull() if keep_short else F.length("_text") > limit)
-    stretch = rf"(?U)[^\s{ENDS}]{{{limit + 1}}}"
-    cores = kept.withColumns({"_cores": F.regexp_extract_all("_text", F.lit(pattern(limit, overlap_least)), F.lit(0)), "unbroken": F.col("_text").rlike(stretch)}).drop("_text")
+    cores = kept.withColumn("_cores", F.regexp_extract_all("_text", F.lit(pattern(limit, overlap_least)), F.lit(0))).drop("_text")
+    cores = cores.withColumn("unbroken", _longest_stretch(F.col("_cores")) > limit)
     rows = with_offsets(cores, "_cores", "_starts").select(
         *keep,
         "unbroken",
@@ -108,5 +121,5 @@ def split_texts(
 
 
 def cuts(pieces: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, cut): `forced` for texts with a stretch that no natural cut can part, else `natural`."""
+    """(keys, cut): `forced` for texts in whose pieces a cut parts a stretch that no natural cut can part, else `natural`."""
     return pieces.select(*keys, F.when(F.col("unbroken"), F.lit("forced")).otherwise(F.lit("natural")).alias("cut")).distinct()

@@ -75,4 +75,14 @@ def test_edges(spark):
 
 
 def test_same_cuts_as_sql(spark, small):
-    assert rows_of(queries.p3_found(spark, small)) == rows_of_sql(queries.ORACLES["p3_found"], small)
+    for name in ("p3_found", "p3_pieces"):
+        assert rows_of(queries.QUERIES[name](spark, small)) == rows_of_sql(queries.ORACLES[name], small)
+
+
+def test_forced_cuts_come_from_the_pieces(spark):
+    for size in (990, 1000, 1001, 1005, 2100):
+        for front in ("", "앞 ", "앞말 " * 313, "앞말 " * 100 + "\n"):
+            for back in ("", " 뒤", " 뒷말" * 400):
+                text = front + "가" * size + back
+                if len(text) > 1000:
+                    assert {r.unbroken for r in pieces(spark, [text])[0]} == {size > 1000}, (size, front[:3], back[:3])
