@@ -51,6 +51,10 @@ def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.rates(truncation.truncation(table(spark, sf_dir, "anonymization")))
 
 
+def p2_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.evidence(truncation.truncation(table(spark, sf_dir, "anonymization")))
+
+
 def p2_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.source_limits(truncation.measured(table(spark, sf_dir, "anonymization")).where("chars is not null"))
 
@@ -160,7 +164,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_found, p1_ledger, p1_ablation, p2_found, p2_rates, p2_limits, p3_found, p3_pieces, p4_found, p4_turns,
+    p1_found, p1_ledger, p1_ablation, p2_found, p2_rates, p2_evidence, p2_limits, p3_found, p3_pieces, p4_found, p4_turns,
     p6_found, p6_sanitised, p6_routes, p6_contexts, p7_ids, p7_tokens_by_source, p8_found, p8_items, p8_in_full, p8_cleaned, p9_found, p9_shares,
 )}
 

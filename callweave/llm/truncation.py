@@ -5,7 +5,8 @@ Two kinds of evidence are combined as log odds:
 * Length. Per source the lengths (characters and bytes) are fitted by a right-censored log-normal distribution:
   values at a candidate limit, that is a length that far more rows have than the density explains, count as
   censored there; expectation and maximisation alternate until the likelihood stands still. The censoring
-  posterior of a value at a limit is the share of the rows there that the density doesn't explain.
+  posterior of a value at a limit is the share of the rows there that the density doesn't explain. What a source cuts at
+  its limits is taken from the prior of a cut elsewhere, so away from the limits it is less likely than in a source without any.
 * Ending. The last word's ending (its last characters) is compared with the whole corpus: endings that close
   sentences there (before a mark or a line end), endings that close far more texts than cuts at random places would
   leave there, and endings that do neither. A broken character or a line that has only begun is cut for certain.
@@ -42,8 +43,12 @@ FINAL_SHARE, MIN_SEEN = 0.3, 5
 TEXT_END_LIFT = 4.0
 #: Counts as so many places of each ending, divided into cuts and closings as the shorter ending is.
 SMOOTHING = 1.0
-#: Log odds of the prior (one row in ten) and of each kind of ending; of unfinished ones the most.
-PRIOR, FINISHED, UNFINISHED, BROKEN = log(0.1 / 0.9), -12.0, 7.0, 14.0
+#: A posterior of the length counts as this at most.
+SUREST = 0.9999
+#: The part of all rows that are cut, and the least part that is cut away from a source's limits.
+P_CUT, P_CUT_LEAST = 0.1, 0.01
+#: Log odds of the prior and of each kind of ending; of unfinished ones the most.
+PRIOR, FINISHED, UNFINISHED, BROKEN = log(P_CUT / (1 - P_CUT)), -12.0, 7.0, 14.0
 _tail = re.compile(r"[\W_]+$")
 _closing = re.compile(r"[.?!…~。？！]")
 _digits = re.compile(r"\d+")
@@ -195,7 +200,10 @@ def candidate_limits(lengths: np.ndarray, counts: np.ndarray, lift: float = 6.0)
 
 
 def source_limits(rows: DataFrame) -> DataFrame:
-    """(source, unit, limit, rows_at, posterior, mu, sigma) from rows of (source, chars, bytes)."""
+    """(source, unit, limit, rows_at, posterior, mu, sigma, rows) from rows of (source, chars, bytes).
+
+    Only lengths that at least five rows of a source have can be limits.
+    """
     each = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("size")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("size"))))
     histogram = rows.select("source", each.alias("u")).select("source", "u.unit", "u.size").where("size > 0").groupBy("source", "unit", "size").agg(F.count(F.lit(1)).alias("n"))
 
@@ -204,10 +212,10 @@ def source_limits(rows: DataFrame) -> DataFrame:
         limits = candidate_limits(lengths, counts)
         mu, sigma, share = fit_censored(lengths, counts, limits)
         first = pdf.iloc[0]
-        out = [(first["source"], first["unit"], int(c), int(n), float(share[c]), mu, sigma) for c, n in limits.items()]
-        return pd.DataFrame(out, columns=["source", "unit", "limit", "rows_at", "posterior", "mu", "sigma"])
+        out = [(first["source"], first["unit"], int(c), int(n), float(share[c]), mu, sigma, int(counts.sum())) for c, n in limits.items()]
+        return pd.DataFrame(out, columns=["source", "unit", "limit", "rows_at", "posterior", "mu", "sigma", "rows"])
 
-    schema = "source string, unit string, limit long, rows_at long, posterior double, mu double, sigma double"
+    schema = "source string, unit string, limit long, rows_at long, posterior double, mu double, sigma double, rows long"
     return histogram.groupBy("source", "unit").applyInPandas(fitted, schema)
 
 
@@ -233,13 +241,13 @@ def measured(df: DataFrame, key: str = "anon_id", text: str = "text", source: st
 
 
 def truncation(df: DataFrame, key: str = "anon_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(key, source, probability, truncated, limit, length_posterior, ending) for each row.
+    """(key, source, probability, truncated, limit, length_posterior, ending, length_odds, ending_odds) for each row.
 
     limit: the limit, in characters or bytes, at which the row's length stands; ending: finished, unfinished or broken.
     """
     rows = measured(df, key, text, source)
     known = endings(df, text)
-    limits = source_limits(rows.where("chars is not null"))
+    limits = written(source_limits(rows.where("chars is not null")))  # met by characters, by bytes and by source
     three = known.select(F.col("key").alias("key3"), F.col("finished").alias("f3"), F.col("known").alias("k3"), F.col("cuts").alias("c3"), F.col("closings").alias("s3"))
     two = known.select(F.col("key").alias("key2"), F.col("finished").alias("f2"), F.col("cuts").alias("c2"), F.col("closings").alias("s2"))
     one = known.select(F.col("key").alias("key1"), F.col("cuts").alias("c1"), F.col("closings").alias("s1"))
@@ -247,11 +255,16 @@ def truncation(df: DataFrame, key: str = "anon_id", text: str = "text", source:
     for unit in ("chars", "bytes"):
         own = limits.where(F.col("unit") == unit).select(F.col("source").alias("_s"), F.col("limit").alias(f"limit_{unit}"), F.col("posterior").alias(f"at_{unit}"))
         joined = joined.join(own, F.col("source").eqNullSafe(F.col("_s")) & (F.col(unit) == F.col(f"limit_{unit}")), "left").drop("_s")
+    # a limit in bytes shows in characters too where all rows are alike, so the larger share of the two counts
+    by_unit = limits.groupBy("source", "unit").agg((F.sum(F.col("rows_at") * F.col("posterior")) / F.max("rows")).alias("share"))
+    elsewhere = F.greatest(F.lit(P_CUT) - F.max("share"), F.lit(P_CUT_LEAST))
+    off = by_unit.groupBy("source").agg((F.log(elsewhere / (1 - elsewhere)) - PRIOR).alias("off_odds")).withColumnRenamed("source", "_s")
+    joined = joined.join(off, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
     finished = F.coalesce(F.when(F.col("k3"), F.col("f3")), F.col("f2"), F.lit(False))
     posterior = F.greatest(F.coalesce("at_chars", F.lit(0.0)), F.coalesce("at_bytes", F.lit(0.0)))
     ending = F.when(F.col("broken"), "broken").when(finished, "finished").otherwise("unfinished")
-    clipped = F.least(F.greatest("length_posterior", F.lit(0.02)), F.lit(0.98))
-    length_odds = F.when(F.col("length_posterior") > 0, F.log(clipped / (1 - clipped))).otherwise(F.lit(0.0))
+    sure = F.least("length_posterior", F.lit(SUREST))
+    length_odds = F.when(F.col("length_posterior") > 0, F.log(sure / (1 - sure))).otherwise(F.coalesce("off_odds", F.lit(0.0)))
     ending_odds = F.when(F.col("ending") == "broken", BROKEN).when(F.col("ending") == "finished", FINISHED).otherwise(F.least("cut", F.lit(UNFINISHED)))
     cut = closed = F.lit(0.5)  # the parts of cuts and closings among the places of the ending, from the shortest to the longest
     for n in "123":
@@ -259,11 +272,24 @@ def truncation(df: DataFrame, key: str = "anon_id", text: str = "text", source:
         total = cuts + closings + SMOOTHING
         cut, closed = (cuts + SMOOTHING * cut) / total, (closings + SMOOTHING * closed) / total
     joined = joined.withColumn("cut", F.log(cut / closed))
-    scored = joined.withColumns({"length_posterior": posterior, "ending": ending}).withColumn("odds", F.lit(PRIOR) + length_odds + ending_odds)
-    probability = F.when(F.col("chars").isNotNull(), 1 / (1 + F.exp(-F.col("odds")))).otherwise(F.lit(0.0))
+    scored = joined.withColumns({"length_posterior": posterior, "ending": ending}).withColumns({"length_odds": length_odds, "ending_odds": ending_odds.cast("double")})
+    odds = F.lit(PRIOR) + F.col("length_odds") + F.col("ending_odds")
+    probability = F.when(F.col("chars").isNotNull(), 1 / (1 + F.exp(-odds))).otherwise(F.lit(0.0))
     return scored.select(
         F.col("id").alias(key), F.col("source").alias(source), probability.alias("probability"), (probability > 0.5).alias("truncated"),
-        F.coalesce("limit_chars", "limit_bytes").alias("limit"), "length_posterior", "ending",
+        F.coalesce("limit_chars", "limit_bytes").alias("limit"), "length_posterior", "ending", "length_odds", "ending_odds",
+    )
+
+
+def evidence(found: DataFrame, source: str = "source") -> DataFrame:
+    """(source, both, ending_only, length_only, added_by_length, cleared_by_length): rows that count as truncated by both kinds of evidence and by each alone.
+
+    added_by_length: truncated by both but not by the ending alone; cleared_by_length: the other way round.
+    """
+    alone = {k: (F.col("probability") > 0) & (F.lit(PRIOR) + F.col(f"{k}_odds") > 0) for k in ("ending", "length")}
+    return found.groupBy(source).agg(
+        F.count_if("truncated").alias("both"), F.count_if(alone["ending"]).alias("ending_only"), F.count_if(alone["length"]).alias("length_only"),
+        F.count_if(F.col("truncated") & ~alone["ending"]).alias("added_by_length"), F.count_if(~F.col("truncated") & alone["ending"]).alias("cleared_by_length"),
     )
 
 

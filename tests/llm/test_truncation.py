@@ -56,6 +56,22 @@ def test_the_length_decides_where_the_ending_says_nothing(spark):
     assert all(got[i].length_posterior > 0.9 for i, *_ in rows[-4:-2])
 
 
+def test_a_limit_changes_verdicts_both_ways(spark):
+    rows = corpus()
+    said = [f"{a}{b}" for a, b in zip("갑을병정무기경신임계자축", "촉뷁쿼튜햏샵뤼쮸븐퓨뮤휵")]
+    body = "\n".join(["상담원이 주문을 확인했습니다."] * 40)
+    for n, word in enumerate(said):  # stands inside sentences, ever more often
+        rows.append((30_000 + n, "whole", "\n".join([f"저는 {word} 주문을 확인했습니다."] * 2**n), False))
+    rows += [(50_000 + n, source, body[: 17 * (2 + n)] + word, None) for n, word in enumerate(said) for source in ("fixed", "whole")]
+    at_limit = [(60_000 + n, "fixed", body[: 249 - len(w)] + " " + w, None) for n, w in enumerate(said)]
+    found = T.truncation(spark.createDataFrame([(i, s, t) for i, s, t, _ in rows + at_limit], "anon_id long, source string, text string"))
+    got = {(r.anon_id, r.source): r for r in found.where("anon_id >= 50000").collect()}
+    verdicts = [(got[50_000 + n, "fixed"].truncated, got[50_000 + n, "whole"].truncated, got[60_000 + n, "fixed"].truncated) for n in range(len(said))]
+    assert (False, True, True) in verdicts and (False, False, True) in verdicts, verdicts
+    counts = {r.source: r for r in T.evidence(found).collect()}
+    assert counts["fixed"].added_by_length > 0 and counts["fixed"].cleared_by_length > 0 and counts["whole"].length_only == 0
+
+
 def test_fit_recovers_a_censored_distribution():
     rng = np.random.default_rng(2)
     true = np.exp(rng.normal(6.0, 0.7, 20_000)).astype(int) + 1
