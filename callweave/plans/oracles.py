@@ -117,6 +117,74 @@ _FRESH = f"""{_RAW}, {_CHUNKS},
     kept AS (SELECT file, unnest(list_reduce(l, lambda a, x: {{'pos': x.pos, 'm': x.m, 's': x.s, 'e': x.e,
         'k': CASE WHEN len(list_filter(a.k, lambda y: abs(y.m - x.m) <= 0.5)) > 0 THEN a.k ELSE list_append(a.k, {{'pos': x.pos, 'm': x.m, 's': x.s, 'e': x.e}}) END}}).k) AS r FROM cl)"""
 
+def _differing(p: str, source: str) -> str:
+    """Blocks in which the lists x and y of the rows (id, x, y) differ: the longest common run parts a segment in two, the first one of equal runs."""
+    best = f"""SELECT g.id, alo, ahi, blo, bhi, max({{'l': least(r.t + 1, ahi, bhi + r.d) - greatest(r.s, alo, blo + r.d), 's': -greatest(r.s, alo, blo + r.d), 'j': r.d - greatest(r.s, alo, blo + r.d)}}) AS m
+        FROM {p}g g JOIN {p}r r ON g.id = r.id AND least(r.t + 1, ahi, bhi + r.d) > greatest(r.s, alo, blo + r.d) GROUP BY g.id, alo, ahi, blo, bhi"""
+    return f"""{p}x AS (SELECT id, x, unnest(range(1, len(x) + 1)) AS i FROM {source}), {p}y AS (SELECT id, y, unnest(range(1, len(y) + 1)) AS j FROM {source}),
+    {p}e AS (SELECT a.id, i, i - j AS d, i - row_number() OVER (PARTITION BY a.id, i - j ORDER BY i) AS grp FROM {p}x a JOIN {p}y b ON a.id = b.id AND a.x[i] = b.y[j]),
+    {p}r AS (SELECT id, d, min(i) AS s, max(i) AS t FROM {p}e GROUP BY id, d, grp),
+    {p}g AS (SELECT id, 1::BIGINT AS alo, len(x) + 1 AS ahi, 1::BIGINT AS blo, len(y) + 1 AS bhi FROM {source}
+        UNION ALL SELECT id, CASE WHEN side = 0 THEN alo ELSE -m.s + m.l END, CASE WHEN side = 0 THEN -m.s ELSE ahi END, CASE WHEN side = 0 THEN blo ELSE -m.j + m.l END, CASE WHEN side = 0 THEN -m.j ELSE bhi END
+            FROM ({best}) b, (VALUES (0), (1)) v(side)),
+    {p}m AS (SELECT id, -m.s AS a, -m.j AS b, m.l AS l FROM ({best}) UNION ALL SELECT id, len(x) + 1, len(y) + 1, 0 FROM {source}),
+    {p}h AS (SELECT id, coalesce(lag(a + l) OVER w, 1) AS a0, a AS a1, coalesce(lag(b + l) OVER w, 1) AS b0, b AS b1 FROM {p}m WINDOW w AS (PARTITION BY id ORDER BY a, b)),
+    {p} AS (SELECT * FROM {p}h WHERE a1 > a0 OR b1 > b0)"""
+
+
+_SHAPED = """CASE {t} WHEN '[전화번호]' THEN length(regexp_replace({v}, '[^\\p{{Nd}}]', '', 'g')) BETWEEN 7 AND 15 AND regexp_full_match({v}, '\\+?[0-9][0-9 \\t().-]*[0-9]')
+        WHEN '[생년월일]' THEN length({v}) <= 40 AND length(regexp_replace({v}, '[^\\p{{Nd}}]', '', 'g')) >= 4 AND regexp_full_match({v}, '[0-9][0-9년월일생 \\t./-]*[0-9일생]')
+        ELSE {v} <> '' AND length({v}) <= 20 AND NOT regexp_matches({v}, '\\p{{Nd}}') AND NOT regexp_matches({v}, '[,.:;!?/()\\[\\]{{}}]') END"""
+_TOKENS = "regexp_extract_all({0}, '(?s)" + _TAG + "|.')"
+# (anon_id, line, part, item, tag, value, reason) of all tags: lines are paired, parts looked up or lines compared, stretches of several tags cut
+_REDACTED = f"""RECURSIVE {_TEXTS}, b AS (SELECT a.anon_id AS id, {_LINES.format("t.text")} AS x, {_LINES.format("a.text")} AS y FROM anonymization a JOIN texts t USING (file) WHERE a.text IS NOT NULL),
+    ue AS (SELECT * FROM b WHERE len(x) <> len(y)), {_differing("lb", "ue")},
+    bl AS (SELECT * FROM lb UNION ALL SELECT id, 1, len(x) + 1, 1, len(y) + 1 FROM b WHERE len(x) = len(y)),
+    pl AS (SELECT id, a0, a1, b0, b1, unnest(range(0, greatest(a1 - a0, b1 - b0))) AS i FROM bl),
+    pr AS (SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT p.id AS anon_id, a0 + i AS line, b0 + i AS place, CASE WHEN a0 + i < a1 THEN x[a0 + i] ELSE '' END AS s, CASE WHEN b0 + i < b1 THEN y[b0 + i] ELSE '' END AS m FROM pl p JOIN b USING (id))
+        WHERE s <> m AND regexp_matches(m, '{_TAG}')),
+    lt AS (SELECT *, string_split_regex(m, '{_TAG}') AS q, regexp_extract_all(m, '{_TAG}') AS tags FROM pr),
+    fo AS (SELECT *, list_reduce(list_prepend({{'v': '', 'c': 0::BIGINT, 'lost': false, 'f': []::BIGINT[], 't': []::BIGINT[]}}, list_transform(q, lambda v: {{'v': v, 'c': 0::BIGINT, 'lost': false, 'f': []::BIGINT[], 't': []::BIGINT[]}})),
+        lambda a, z: {{'v': z.v, 'c': CASE WHEN z.v = '' THEN a.c ELSE a.c + strpos(substr(s, a.c + 1), z.v) - 1 + length(z.v) END, 'lost': a.lost OR (z.v <> '' AND strpos(substr(s, a.c + 1), z.v) = 0),
+            'f': list_append(a.f, CASE WHEN z.v <> '' THEN a.c + strpos(substr(s, a.c + 1), z.v) - 1 END), 't': list_append(a.t, CASE WHEN z.v <> '' THEN a.c + strpos(substr(s, a.c + 1), z.v) - 1 + length(z.v) END)}}) AS r FROM lt),
+    op AS (SELECT *, list_filter(range(1, len(tags) + 1), lambda j: j = 1 OR q[j] <> '') AS opens FROM fo WHERE NOT r.lost),
+    ru AS (SELECT *, unnest(range(1, len(opens) + 1)) AS n FROM op),
+    an AS (SELECT id, anon_id, line, place, n - 1 AS part, tags[opens[n]:coalesce(opens[n + 1], len(tags) + 1) - 1] AS tags,
+        substr(s, coalesce(r.t[opens[n]], 0) + 1, coalesce(r.f[coalesce(opens[n + 1], len(tags) + 1)], length(s)) - coalesce(r.t[opens[n]], 0)) AS region, false AS compared, false AS mixed FROM ru),
+    lo AS (SELECT id, anon_id, line, place, {_TOKENS.format("s")} AS x, {_TOKENS.format("m")} AS y FROM fo WHERE r.lost), {_differing("tb", "lo")},
+    bt AS (SELECT id, anon_id, line, place, a0, list_filter(y[b0:b1 - 1], lambda t: t IN ('[이름]', '[생년월일]', '[전화번호]')) AS tags, array_to_string(x[a0:a1 - 1], '') AS region, true AS compared, b1 - b0 AS size FROM tb JOIN lo USING (id)),
+    cm AS (SELECT id, anon_id, line, place, row_number() OVER (PARTITION BY id ORDER BY a0) - 1 AS part, tags, region, compared, len(tags) < size AS mixed FROM bt WHERE len(tags) > 0),
+    st AS (SELECT row_number() OVER () AS g, * REPLACE (trim(region, E' \\t\\n\\r') AS region) FROM (SELECT * FROM an UNION ALL SELECT * FROM cm)),
+    rg AS (SELECT names, list_transform(list_distinct(list_transform(phone_numbers, lambda p: {_DIGITS.format("p")})), lambda d: array_to_string(string_split(d, ''), '[ \\t().-]*')) AS phones FROM registry),
+    sv AS (SELECT g, tags, region FROM st WHERE len(tags) > 1 AND NOT mixed AND region <> ''),
+    cu AS (SELECT g, tags, region, mode, 0::BIGINT AS c, []::VARCHAR[] AS vals FROM sv, (VALUES ('known'), ('shape')) k(mode) WHERE mode = 'shape' OR NOT list_contains(tags, '[생년월일]')
+        UNION ALL
+        SELECT g, tags, region, mode, e, list_append(vals, substr(region, c + 1, e - c)) FROM (
+            SELECT *, unnest(CASE WHEN mode = 'shape' THEN range(c + 1, length(region) + 1)
+                WHEN tags[len(vals) + 1] = '[이름]' THEN list_transform(list_filter(list_distinct(names), lambda w: starts_with(substr(region, c + 1), w)), lambda w: c + length(w))
+                ELSE list_distinct(list_transform(list_filter(phones, lambda w: regexp_matches(substr(region, c + 1), '^' || w)), lambda w: c + length(regexp_extract(substr(region, c + 1), '^' || w)))) END) AS e
+            FROM cu, rg WHERE len(vals) < len(tags))
+        WHERE e <= length(region) AND (mode = 'known' OR ({_SHAPED.format(t="tags[len(vals) + 1]", v="substr(region, c + 1, e - c)")}))),
+    wy AS (SELECT g, mode, count(DISTINCT vals) AS n, any_value(vals) AS vals FROM cu WHERE len(vals) = len(tags) AND c = length(region) GROUP BY g, mode),
+    ct AS (SELECT g, coalesce(any_value(vals) FILTER (mode = 'known' AND n = 1), any_value(vals) FILTER (mode = 'shape' AND n = 1)) AS vals FROM wy GROUP BY g),
+    vl AS (SELECT st.*, CASE WHEN len(tags) > 1 THEN ct.vals ELSE [region] END AS vals FROM st LEFT JOIN ct USING (g)),
+    it AS (SELECT *, unnest(range(1, len(tags) + 1)) AS i FROM vl),
+    ok AS (SELECT g, bool_and(({_SHAPED.format(t="tags[i]", v="vals[i]")}) AND vals[i] = trim(vals[i]) AND (tags[i] <> '[이름]' OR len(string_split_regex(trim(vals[i]), '\\s+')) = 1 OR len(list_filter(string_split_regex(trim(vals[i]), '\\s+'), lambda w: length(w) > 2)) = 0)) AS good FROM it GROUP BY g),
+    rs AS (SELECT *, CASE WHEN mixed THEN 'unresolved_anchor_lost' WHEN region = '' AND (compared OR len(tags) = 1) THEN 'unresolved_empty' WHEN len(tags) > 1 AND (vals IS NULL OR (compared AND NOT coalesce(good, false))) THEN 'unresolved_adjacent'
+        WHEN compared AND NOT coalesce(good, false) THEN 'unresolved_anchor_lost' END AS reason FROM it LEFT JOIN ok USING (g)),
+    re AS (SELECT anon_id, line, place, part, i - 1 AS item, tags[i] AS tag, CASE WHEN reason IS NULL THEN vals[i] END AS value, reason FROM rs),
+    redacted AS (SELECT * FROM re WHERE value IS NULL OR value NOT IN ('[이름]', '[생년월일]', '[전화번호]'))"""
+_ENTRIES = f"""{_REDACTED},
+    oe AS (SELECT *, CASE WHEN row_number() OVER w > 1 AND line = lag(line) OVER w AND tag = lag(tag) OVER w AND value IS NOT DISTINCT FROM lag(value) OVER w AND reason IS NOT DISTINCT FROM lag(reason) OVER w THEN 0 ELSE 1 END AS o FROM redacted WINDOW w AS (PARTITION BY anon_id ORDER BY place, part, item)),
+    ne AS (SELECT *, sum(o) OVER (PARTITION BY anon_id ORDER BY place, part, item ROWS UNBOUNDED PRECEDING) AS entry FROM oe),
+    entries AS (SELECT anon_id, CAST(entry AS INT) AS entry, line, tag, CASE tag WHEN '[이름]' THEN 'name' WHEN '[생년월일]' THEN 'birthdate' ELSE 'phone' END AS type, value, value IS NOT NULL AS resolved, reason, count(*) AS count FROM ne GROUP BY ALL)"""
+
+
+def _found_values(kind: str) -> str:
+    # each value where it comes first; nulls as one value
+    return f"list_transform(list_sort(list({{'e': e, 'v': value}}) FILTER (type = '{kind}')), lambda z: z.v)"
+
+
 ORACLES = {
     "p5_found": """
         WITH v AS (
@@ -197,14 +265,11 @@ ORACLES = {
     "mask_phones_spoken": f"""WITH {_REG}, d AS (SELECT DISTINCT file, text FROM diarization WHERE text IS NOT NULL), p AS (SELECT file, text, {_masked_phones("text")} AS t FROM d, reg),
         c AS (SELECT file, len(regexp_extract_all(t, '\\[전화번호\\]')) - len(regexp_extract_all(text, '\\[전화번호\\]')) AS masks FROM p)
         SELECT * FROM c WHERE masks > 0""",
-    "redacted_lines": f"""WITH {_TEXTS}, b AS (SELECT a.anon_id, {_LINES.format("t.text")} AS x, {_LINES.format("a.text")} AS y FROM anonymization a JOIN texts t USING (file) WHERE a.text IS NOT NULL),
-        i AS (SELECT anon_id, unnest(range(1, len(x) + 1)) AS line, x, y FROM b WHERE len(x) = len(y)),
-        l AS (SELECT anon_id, line, x[line] AS x, y[line] AS y FROM i WHERE x[line] <> y[line] AND len(regexp_extract_all(y[line], '{_TAG}')) = 1),
-        p AS (SELECT anon_id, line, x, regexp_extract(y, '{_TAG}') AS tag, string_split_regex(y, '{_TAG}') AS q FROM l),
-        f AS (SELECT anon_id, line, tag, x, q[1] AS h, q[2] AS t, strpos(x, q[1]) AS p0 FROM p),
-        g AS (SELECT *, substr(x, CASE WHEN h = '' THEN 1 ELSE p0 + length(h) END) AS rest FROM f WHERE h = '' OR p0 > 0),
-        v AS (SELECT anon_id, line, tag, trim(CASE WHEN t = '' THEN rest ELSE substr(rest, 1, strpos(rest, t) - 1) END) AS value FROM g WHERE t = '' OR strpos(rest, t) > 0)
-        SELECT anon_id, CAST(line AS INT) AS line, tag, value FROM v WHERE value <> '' AND value NOT IN ('[이름]', '[생년월일]', '[전화번호]')""",
+    "redacted_lines": f"""WITH {_REDACTED} SELECT anon_id, CAST(line AS INT) AS line, CAST(place AS INT) AS place, CAST(part AS INT) AS part, CAST(item AS INT) AS item, tag, value, reason FROM redacted""",
+    "redaction_entries": f"""WITH {_ENTRIES} SELECT anon_id, entry, CAST(line AS INT) AS line, tag, type, value, resolved, reason, count FROM entries""",
+    "redaction_summary": f"""WITH {_ENTRIES} SELECT anon_id, count(*) AS entries, CAST(sum(count) AS BIGINT) AS total, CAST(sum(CASE WHEN resolved THEN 0 ELSE count END) AS BIGINT) AS unresolved FROM entries GROUP BY anon_id""",
+    "info_document": f"""WITH {_ENTRIES}, fs AS (SELECT anon_id, type, value, min(entry) AS e FROM entries GROUP BY anon_id, type, value)
+        SELECT anon_id, {{'name': coalesce({_found_values("name")}, []), 'birthdate': coalesce({_found_values("birthdate")}, []), 'phone': coalesce({_found_values("phone")}, [])}} AS info FROM fs GROUP BY anon_id""",
     "shape_check": f"""WITH v AS (SELECT DISTINCT * FROM (SELECT 'name' AS kind, unnest(info.name) AS value FROM anonymization_info UNION ALL SELECT 'birthdate', unnest(info.birthdate) FROM anonymization_info
             UNION ALL SELECT 'phone', unnest(info.phone) FROM anonymization_info) WHERE value IS NOT NULL),
         d AS (SELECT *, {_DIGITS.format("value")} AS digits FROM v),

@@ -249,23 +249,12 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redacted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values of lines with one tag whose other text stands in the source; what SQL can say of the recovery."""
-    both = _pairs(spark, sf_dir)
-    both = both.where(F.size(T.lines(F.col("source_text"))) == F.size(T.lines(F.col("masked_text"))))
-    pairs = redaction.line_pairs(both, ["anon_id"])
-    parts = F.split("masked_line", T.TAG_PATTERN, -1)
-    head, tail = parts[0], parts[1]
-    found = F.when(head == "", F.lit(1)).otherwise(F.position(head, F.col("source_line")))
-    rest = F.substring(F.col("source_line"), found + F.length(head), F.length("source_line"))
-    fits = (found > 0) & ((tail == "") | (F.position(tail, rest) > 0))
-    one = pairs.where((F.regexp_count("masked_line", F.lit(T.TAG_PATTERN)) == 1) & fits)
-    found = redaction.replacements(one, ["anon_id"], registry(spark, sf_dir)).where("value is not null")
-    return found.select("anon_id", "line", "tag", "value")
+    """The tags of all lines that differ, with the values they stand for, or the reason why there is none."""
+    return redaction.replacements(redaction.line_pairs(_pairs(spark, sf_dir), ["anon_id"]), ["anon_id"], registry(spark, sf_dir))
 
 
 def redaction_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = redaction.replacements(redaction.line_pairs(_pairs(spark, sf_dir), ["anon_id"]), ["anon_id"], registry(spark, sf_dir))
-    return redaction.entries(found, ["anon_id"])
+    return redaction.entries(redacted_lines(spark, sf_dir), ["anon_id"])
 
 
 def redaction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ def rows_of_sql(sql, folder):
 
     connection = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
-        connection.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+        connection.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path if os.path.isfile(path) else path + "/*.parquet"}'")
     result = connection.execute(sql)
     names = [d[0] for d in result.description]
     order = sorted(range(len(names)), key=lambda i: names[i])
