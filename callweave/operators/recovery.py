@@ -11,6 +11,10 @@ from ..config import DEFAULT, Config
 from ..functions import text as T
 from ..storage import written
 from .intervals import centred_in, clip_to_crop, crop_window, difference, padded_coverage, split, union
+from .ordered import BLOCK, cumulative, in_blocks
+
+#: Words are numbered by blocks of so many seconds.
+NUMBERED_SECONDS = 600.0
 
 
 def missing_speech(turns: DataFrame, chunks: DataFrame, config: Config = DEFAULT) -> DataFrame:
@@ -54,15 +58,22 @@ def new_words(original: DataFrame, recovered: DataFrame, config: Config = DEFAUL
     apart = F.when(F.col("_centre") - F.lag("_centre").over(by_centre) <= F.lit(tolerance), 0).otherwise(1)
     clusters = fresh.withColumn("_apart", apart).withColumn("_cluster", F.sum("_apart").over(by_centre.rowsBetween(Window.unboundedPreceding, 0)))
     columns = recovered.columns
-    item = F.struct("pos", "_centre", F.struct(*columns).alias("row"))
-    grouped = clusters.groupBy("file", "_word", "_cluster").agg(F.sort_array(F.collect_list(F.struct(F.col("pos"), F.col("_centre"))), True).alias("_order"), F.collect_list(item).alias("_items"))
-    centres = F.aggregate(
-        "_order",
-        F.array().cast("array<struct<pos:bigint,_centre:double>>"),
-        lambda kept, x: F.when(F.exists(kept, lambda k: F.abs(k["_centre"] - x["_centre"]) <= F.lit(tolerance)), kept).otherwise(F.concat(kept, F.array(F.struct(x["pos"].cast("long").alias("pos"), x["_centre"].alias("_centre"))))),
-    )
-    rows = grouped.withColumn("_kept", F.transform(centres, lambda k: k["pos"])).select("_kept", F.explode("_items").alias("i"))
-    return rows.where(F.array_contains("_kept", F.col("i.pos"))).select("i.row.*")
+    item = F.struct(F.col("pos").alias("pos"), F.col("_centre").alias("centre"), F.struct(*columns).alias("row"))
+    grouped = clusters.groupBy("file", "_word", "_cluster").agg(F.sort_array(F.collect_list(item)).alias("_order"))
+
+    # in a cluster whose centres rise with the positions only the last kept word can be near; else any may be
+    near = lambda a, b: F.abs(a - b) <= F.lit(tolerance)
+    centres = F.transform("_order", lambda x: x["centre"])
+    rising = centres == F.array_sort(centres)
+    none = F.array().cast(grouped.schema["_order"].dataType)
+    start = F.struct(F.lit(None).cast("double").alias("last"), none.alias("kept"))
+    by_last = F.aggregate(
+        "_order", start, lambda s, x: F.when(F.coalesce(near(s["last"], x["centre"]), F.lit(False)), s).otherwise(F.struct(x["centre"].alias("last"), F.concat(s["kept"], F.array(x)).alias("kept")))
+    )["kept"]
+    by_all = F.aggregate("_order", none, lambda kept, x: F.when(F.exists(kept, lambda k: near(k["centre"], x["centre"])), kept).otherwise(F.concat(kept, F.array(x))))
+    single = F.size("_order") == 1
+    kept = F.when(single, F.col("_order")).when(rising, by_last).otherwise(by_all)
+    return grouped.select(F.explode(kept).alias("i")).select("i.row.*")
 
 
 def merge_recovered(original: DataFrame, recovered: DataFrame, config: Config = DEFAULT, same_text: Callable[[Column], Column] = T.canonical) -> DataFrame:
@@ -70,8 +81,11 @@ def merge_recovered(original: DataFrame, recovered: DataFrame, config: Config =
     columns = [c for c in original.columns if c in recovered.columns and c != "pos"]
     fresh = new_words(original, recovered, config, same_text)
     every = original.select(*columns, F.lit(0).alias("_new"), F.col("pos").alias("_pos")).unionByName(fresh.select(*columns, F.lit(1).alias("_new"), F.col("pos").alias("_pos")))
-    order = Window.partitionBy("file").orderBy("start", "end", "_new", "_pos")
-    return every.withColumn("pos", (F.row_number().over(order) - 1).cast("long")).withColumn("recovered", F.col("_new") == 1).drop("_new", "_pos")
+    # numbered by blocks of time, so that a long recording isn't one task; written, as blocks and rows come from it
+    blocks = in_blocks(written(every), F.floor(F.coalesce("start", F.lit(-1e12)) / NUMBERED_SECONDS))
+    one = lambda row, before: F.when(before.isNull(), F.lit(0)).otherwise(F.lit(1))
+    rows = cumulative(blocks, ["file"], ["start", "end", "_new", "_pos"], ["start"], one, "pos", "_one").drop("_one", BLOCK)
+    return rows.withColumn("pos", F.col("pos").cast("long")).withColumn("recovered", F.col("_new") == 1).drop("_new", "_pos")
 
 
 def recover(chunks: DataFrame, turns: DataFrame, audio: DataFrame, transcribe: Callable[[DataFrame], DataFrame], config: Config = DEFAULT) -> DataFrame:

@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
+from ..storage import written
 
 BIN_SECONDS = 30.0
+#: An interval has at most so many bins, or twice as many that are WIDE times as wide.
+MOST_BINS, WIDE = 512, 1 << 20
 _TURN = ("start", "end", "label")
 
 
@@ -35,22 +38,46 @@ def _bins(start: Column, end: Column, width: float) -> Column:
     return F.sequence(lo.cast("long"), hi.cast("long"))
 
 
+def _placed(start: Column, end: Column, width: float, own: str, other: str) -> Column:
+    """array<struct<table, bin>>: where an interval is looked up.
+
+    Intervals of at most MOST_BINS bins have these. Longer ones have wide bins instead, at most 2 * MOST_BINS of them (the
+    outer two hold all that is beyond), in a table of their own side (`own`), where all intervals of the other side are
+    looked up. So no interval makes more than a bounded number of rows.
+    """
+    fine = F.transform(_bins(start, end, width), lambda b: F.struct(F.lit("fine").alias("table"), b.alias("bin")))
+    bound = lambda x: F.least(F.greatest(F.floor(x / F.lit(width * WIDE)), F.lit(-MOST_BINS)), F.lit(MOST_BINS - 1)).cast("long")
+    wide = F.sequence(bound(start), bound(F.greatest(end, start)))
+    table = lambda name: F.transform(wide, lambda b: F.struct(F.lit(name).alias("table"), b.alias("bin")))
+    short = F.greatest(end, start).cast("double") - start.cast("double") < F.lit(width * (MOST_BINS - 1))
+    if own < other:  # of two long intervals one table is enough
+        return F.when(short, F.concat(fine, table(other))).otherwise(F.concat(table(own), table(other)))
+    return F.when(short, F.concat(fine, table(other))).otherwise(table(own))
+
+
 def _numbered(turns: DataFrame) -> DataFrame:
     """Turns with valid edges and their place in the order (start, end, label) of the file."""
     kept = turns.where(F.col("start").isNotNull() & F.col("end").isNotNull()).select("file", *_TURN)
     return kept.withColumn("turn", F.row_number().over(Window.partitionBy("file").orderBy(*_TURN)))
 
 
-def touching(chunks: DataFrame, turns: DataFrame, width: float = BIN_SECONDS) -> DataFrame:
-    """(file, pos, turn, t_start, t_end, label, overlap): pairs that overlap, or whose turn holds the chunk's middle."""
-    c = chunks.select("file", "pos", F.col("start").alias("c_start"), F.col("end").alias("c_end"), F.explode(_bins(F.col("start"), F.col("end"), width)).alias("bin"))
-    t = _numbered(turns).select(F.col("file").alias("_f"), "turn", F.col("start").alias("t_start"), F.col("end").alias("t_end"), "label").withColumn("_bin", F.explode(_bins(F.col("t_start"), F.col("t_end"), width)))
+def touching(chunks: DataFrame, turns: DataFrame, width: float = BIN_SECONDS, anchor: Column | None = None) -> DataFrame:
+    """(file, pos, turn, c_start, c_end, t_start, t_end, label, overlap, holds): pairs that overlap, or whose turn holds the chunk's anchor.
+
+    anchor: a point of the chunk (by default its middle, or its start if it ends before that).
+    """
+    middle = F.when(F.col("end") > F.col("start"), (F.col("start") + F.col("end")) / 2).otherwise(F.col("start").cast("double")) if anchor is None else anchor
+    c = chunks.select("file", "pos", F.col("start").alias("c_start"), F.col("end").alias("c_end"), middle.alias("_at"), F.explode(_placed(F.col("start"), F.col("end"), width, "chunk", "turn")).alias("_b")).select("*", "_b.*")
+    t = _numbered(turns).select(F.col("file").alias("_f"), "turn", F.col("start").alias("t_start"), F.col("end").alias("t_end"), "label")
+    t = t.withColumn("_tb", F.explode(_placed(F.col("t_start"), F.col("t_end"), width, "turn", "chunk"))).select("*", F.col("_tb.table").alias("_table"), F.col("_tb.bin").alias("_bin"))
     overlap = F.least("c_end", "t_end") - F.greatest("c_start", "t_start")
-    middle = (F.col("c_start") + F.col("c_end")) / 2
+    holds = F.col("_at").between(F.col("t_start"), F.col("t_end"))
     # a pair may share several bins: the one where the later of the two begins counts
-    first = F.floor(F.greatest("c_start", "t_start") / width)
-    hit = (F.col("file") == F.col("_f")) & (F.col("bin") == F.col("_bin")) & ((overlap > 0) | middle.between(F.col("t_start"), F.col("t_end")))
-    return c.join(t, hit).where(F.col("bin") == first).select("file", "pos", "turn", "c_start", "c_end", "t_start", "t_end", "label", overlap.alias("overlap"))
+    later = F.greatest("c_start", "t_start")
+    wide = F.least(F.greatest(F.floor(later / F.lit(width * WIDE)), F.lit(-MOST_BINS)), F.lit(MOST_BINS - 1))
+    first = F.when(F.col("table") == "fine", F.floor(later / width)).otherwise(wide)
+    hit = (F.col("file") == F.col("_f")) & (F.col("table") == F.col("_table")) & (F.col("bin") == F.col("_bin")) & ((overlap > 0) | holds)
+    return c.join(t, hit).where(F.col("bin") == first).select("file", "pos", "turn", "c_start", "c_end", "t_start", "t_end", "label", overlap.alias("overlap"), holds.alias("holds"))
 
 
 def nearest(chunks: DataFrame, turns: DataFrame, anchor: Column) -> DataFrame:
@@ -80,9 +107,9 @@ def pick_speakers(chunks: DataFrame, turns: DataFrame, config: Config = DEFAULT)
     the first turn that holds the chunk's middle, else the one nearest to it; without any turn it is unknown.
     """
     tolerance = F.lit(config.overlap_tie_tolerance)
-    pairs = touching(chunks, turns).groupBy("file", "pos").agg(
+    pairs = touching(chunks, turns, anchor=(F.col("start") + F.col("end")) / 2).groupBy("file", "pos").agg(
         F.sort_array(F.collect_list(F.when(F.col("overlap") > 0, F.struct("turn", "overlap", (F.col("t_end") - F.col("c_end")).alias("rest"), "label")))).alias("over"),
-        F.min(F.when(((F.col("c_start") + F.col("c_end")) / 2).between(F.col("t_start"), F.col("t_end")), F.struct("turn", "label"))).alias("holds"),
+        F.min(F.when(F.col("holds"), F.struct("turn", "label"))).alias("holds"),
     )
     state = F.struct(F.lit(0.0).alias("overlap"), F.lit(0.0).alias("rest"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("any"))
 
@@ -93,7 +120,8 @@ def pick_speakers(chunks: DataFrame, turns: DataFrame, config: Config = DEFAULT)
 
     best = F.aggregate("over", state, better)
     picked = pairs.select(F.col("file").alias("_f"), F.col("pos").alias("_p"), F.when(F.size("over") > 0, best["label"]).otherwise(F.col("holds.label")).alias("_label"))
-    rows = chunks.join(picked, (F.col("file") == F.col("_f")) & (F.col("pos") == F.col("_p")), "left").drop("_f", "_p")
+    # written: most chunks are done here, and only those without a turn are looked at again
+    rows = written(chunks.join(picked, (F.col("file") == F.col("_f")) & (F.col("pos") == F.col("_p")), "left").drop("_f", "_p"))
     lonely = rows.where(F.col("_label").isNull()).select("file", "pos", "start", "end")
     near = nearest(lonely, turns, (F.col("start") + F.col("end")) / 2).select(F.col("file").alias("_f"), F.col("pos").alias("_p"), F.col("label").alias("_near"))
     rows = rows.join(near, (F.col("file") == F.col("_f")) & (F.col("pos") == F.col("_p")), "left")
@@ -134,10 +162,18 @@ def map_words(words: DataFrame, segments: DataFrame) -> DataFrame:
     from ..functions.numbers import milliseconds
 
     timed = words.where(F.col("word") != "").withColumns({"start": milliseconds(F.col("start")), "end": milliseconds(F.col("end")), "source": F.coalesce("source", F.lit("unknown"))})
-    raw = pick_by_overlap(timed, segments).withColumnRenamed("speaker", "raw_speaker")
-    near = nearest_speakers(raw.where(F.col("raw_speaker").isNull()).select("file", "pos", "start", "end"), segments).select(F.col("file").alias("_f"), F.col("pos").alias("_p"), F.col("speaker").alias("_near"))
-    rows = raw.join(near, (F.col("file") == F.col("_f")) & (F.col("pos") == F.col("_p")), "left")
-    return rows.withColumn("speaker", F.coalesce("raw_speaker", "_near")).drop("_f", "_p", "_near")
+    over = F.col("overlap") > 0
+    best = touching(timed, segments, BIN_SECONDS * 1000).groupBy("file", "pos").agg(
+        F.max(F.when(over, F.struct(F.col("overlap"), (-F.col("turn")).alias("turn"), F.col("label")))).alias("o"), F.min(F.when(F.col("holds"), F.struct("turn", "label"))).alias("h")
+    )
+    picked = best.select(F.col("file").alias("_f"), F.col("pos").alias("_p"), F.col("o.label").alias("raw_speaker"), F.col("o.overlap").cast("long").alias("overlap_ms"), F.col("h.label").alias("_held"))
+    rows = timed.join(picked, (F.col("file") == F.col("_f")) & (F.col("pos") == F.col("_p")), "left").drop("_f", "_p").withColumn("overlap_ms", F.coalesce("overlap_ms", F.lit(0)).cast("long"))
+    # written: only words without any segment are looked at again
+    rows = written(rows.withColumn("_own", F.coalesce("raw_speaker", "_held")).drop("_held"))
+    anchor = F.when(F.col("end") > F.col("start"), (F.col("start") + F.col("end")) / 2).otherwise(F.col("start").cast("double"))
+    near = nearest(rows.where(F.col("_own").isNull()), segments, anchor).select(F.col("file").alias("_f"), F.col("pos").alias("_p"), F.col("label").alias("_near"))
+    rows = rows.join(near, (F.col("file") == F.col("_f")) & (F.col("pos") == F.col("_p")), "left")
+    return rows.withColumn("speaker", F.coalesce("_own", "_near")).drop("_f", "_p", "_own", "_near")
 
 
 def smooth(assigned: DataFrame, config: Config = DEFAULT, keys: Sequence[str] = ("file",)) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, Config
 from ..functions import text as T
 from ..functions.numbers import coverage_ratio
-from .ordered import BLOCK, across, cumulative, first_after, in_blocks, inside, with_summary
+from ..storage import written
+from .ordered import BLOCK, across, cumulative, in_blocks, inside, with_summary
 
 BLOCK_ROWS = 50_000
 _KEYS, _ORDER = ["file"], ["pos"]
@@ -36,32 +37,38 @@ def fill_times(df: DataFrame, audio_end: str | None = None, block_rows: int = BL
     """
     audio = F.col(audio_end).cast("double") if audio_end else F.lit(None).cast("double")
     given = spoken(df).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("start", "end")})
-    rows = first_after(in_blocks(given, F.floor(F.col("pos") / block_rows)), _KEYS, _ORDER, F.col("start"), "_next")
+    # written: rows and the summaries of their blocks come from it
+    rows = written(in_blocks(given.withColumn("_audio", audio), F.floor(F.col("pos") / block_rows)))
 
-    def fill(s: Column) -> Column:
-        return F.when(F.col("_next") > s, F.col("_next")).when(audio > s, audio).otherwise(s)
+    def fill(s: Column, following: Column, length: Column = F.col("_audio")) -> Column:
+        return F.when(following > s, following).when(length > s, length).otherwise(s)
 
     # a row with one of its times, an anchor, doesn't hang on the row before it as far as its end goes; all rows
-    # between an anchor and the next are chain
+    # between an anchor and the next are chain. An anchor's end may hang on the next given start, which lies in its
+    # block or is the first one of the blocks behind; behind the last anchor of a block there is none in the block.
     chain = F.col("start").isNull() & F.col("end").isNull()
-    window = inside(_KEYS, *_ORDER)
-    rows = rows.withColumn("_n", F.row_number().over(window)).withColumn("_own", F.when(~chain, F.struct(F.coalesce(F.col("end"), fill(F.col("start"))).alias("end"), F.col("_n").alias("n"))))
-    blocks = rows.groupBy(*_KEYS, BLOCK).agg(F.max_by("_own", F.when(F.col("_own").isNotNull(), F.col("pos"))).alias("_tail"), F.count(F.lit(1)).alias("_size"))
-    before = across(_KEYS).rowsBetween(Window.unboundedPreceding, -1)
+    window, back = inside(_KEYS, *_ORDER), inside(_KEYS, *(F.col(o).desc() for o in _ORDER))
+    rows = rows.withColumns({"_n": F.row_number().over(window), "_next": F.last("start", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))})
+    rows = rows.withColumn("_own", F.when(~chain, F.struct("start", "end", F.col("_next").alias("next"), F.col("_n").alias("n"))))
+    given_at = lambda c: F.when(F.col(c).isNotNull(), F.col("pos"))
+    blocks = rows.groupBy(*_KEYS, BLOCK).agg(F.min_by("start", given_at("start")).alias("_first"), F.max_by("_own", given_at("_own")).alias("_tail"), F.count(F.lit(1)).alias("_size"), F.max("_audio").alias("_audio"))
+    before, behind = (across(_KEYS, forward).rowsBetween(Window.unboundedPreceding, -1) for forward in (True, False))
     # rows since the last anchor of the blocks before: blocks without one add all their rows
-    blocks = blocks.withColumn("_anchored", F.count("_tail").over(across(_KEYS).rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = blocks.withColumns({"_carry": F.last("_first", ignorenulls=True).over(behind), "_anchored": F.count("_tail").over(across(_KEYS).rowsBetween(Window.unboundedPreceding, 0))})
+    tail_end = F.when(F.col("_tail").isNotNull(), F.coalesce(F.col("_tail.end"), fill(F.col("_tail.start"), F.col("_carry"))))
     since = F.col("_size") - F.coalesce(F.col("_tail.n"), F.lit(0))
-    blocks = blocks.withColumn("_run", F.sum(since).over(Window.partitionBy(*_KEYS, "_anchored").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0)))
-    carried = F.last(F.when(F.col("_tail").isNotNull(), F.col("_tail.end")), ignorenulls=True).over(before)
-    rows = with_summary(rows, blocks, _KEYS, carried.alias("_carried"), F.lag("_run").over(across(_KEYS)).alias("_since"))
-    rows = rows.withColumn("_anchor", F.last("_own", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1)))
+    blocks = blocks.withColumns({"_end": tail_end, "_run": F.sum(since).over(Window.partitionBy(*_KEYS, "_anchored").orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, 0))})
+    rows = with_summary(rows, blocks, _KEYS, "_carry", F.last("_end", ignorenulls=True).over(before).alias("_carried"), F.lag("_run").over(across(_KEYS)).alias("_since"))
+    rows = rows.withColumns({"_next": F.coalesce("_next", "_carry"), "_anchor": F.last("_own", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))})
     local = F.col("_anchor").isNotNull()
+    local_end = F.coalesce(F.col("_anchor.end"), fill(F.col("_anchor.start"), F.coalesce("_anchor.next", "_carry")))
     links = F.when(local, F.col("_n") - F.col("_anchor.n") - 1).otherwise(F.col("_n") - 1 + F.coalesce(F.col("_since"), F.lit(0)))
-    base = F.coalesce(F.when(local, F.col("_anchor.end")).otherwise(F.col("_carried")), F.lit(0.0))
-    end_before = F.when(links == 0, base).when(links == 1, fill(base)).otherwise(fill(fill(base)))
+    base = F.coalesce(F.when(local, local_end).otherwise(F.col("_carried")), F.lit(0.0))
+    onward = lambda s: fill(s, F.col("_next"))
+    end_before = F.when(links == 0, base).when(links == 1, onward(base)).otherwise(onward(onward(base)))
     rows = rows.withColumn("start", F.coalesce(F.col("start"), end_before))
-    rows = rows.withColumn("end", F.coalesce(F.col("end"), fill(F.col("start"))))
-    return rows.drop("_next", "_n", "_own", "_anchor", "_carried", "_since", BLOCK)
+    rows = rows.withColumn("end", F.coalesce(F.col("end"), onward(F.col("start"))))
+    return rows.drop("_next", "_n", "_own", "_anchor", "_carry", "_carried", "_since", "_audio", BLOCK)
 
 
 def repair_restarts(df: DataFrame, config: Config = DEFAULT, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -48,3 +48,27 @@ def test_improbable_words_are_dropped(spark):
     rows = [(0.0, 1.0, 0.3), (0.0, 1.0, 0.35), (0.0, 1.0, None)]
     df = spark.createDataFrame(rows, "start double, end double, probability double").selectExpr("*", "0D missing_start", "5D missing_end", "0D crop_start", "5D crop_end")
     assert R.accept_retry(df).count() == 2
+
+
+def test_repeats_of_a_frequent_word_and_numbers_over_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [("f", i, t, t + 0.2, rng.choice(["네", "네", "예"])) for i, t in enumerate(rng.choice([k * 0.3, rng.uniform(0, 900)]) for k in range(1500))]
+    words += [("g", 0, None, None, "네"), ("g", 1, -5.0, -4.0, "네"), ("g", 2, -5.0, -4.0, "아")]
+    schema = "file string, pos long, start double, end double, text string"
+    original = spark.createDataFrame([("f", i, 40.0 * i, 40.0 * i + 1, "음") for i in range(30)] + [("g", 0, None, None, "가"), ("g", 1, 3.0, 4.0, "나")], schema)
+    kept: dict = {}
+    for f, pos, s, e, w in words:
+        if s is not None:
+            same = kept.setdefault((f, w), [])
+            if all(abs((s + e) / 2 - m) > 0.5 for m, _ in same):
+                same.append(((s + e) / 2, pos))
+    recovered = spark.createDataFrame(words, schema).where("start is not null")
+    fresh = R.new_words(original, recovered)
+    assert sorted((r.file, r.text, r.pos) for r in fresh.collect()) == sorted((f, w, p) for (f, w), same in kept.items() for _, p in same)
+    monkeypatch.setattr(R, "NUMBERED_SECONDS", 7.0)
+    rows = R.merge_recovered(original, recovered).collect()
+    for f in ("f", "g"):
+        own = sorted((r for r in rows if r.file == f), key=lambda r: r.pos)
+        assert [r.pos for r in own] == list(range(len(own)))
+        keys = [(r.start is not None, r.start or 0, r.end or 0, r.recovered) for r in own]
+        assert keys == sorted(keys)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from callweave.config import Config
 from callweave.operators import speakers as S
@@ -82,3 +83,22 @@ def test_smoothing_doesnt_cascade(spark):
 
 def test_smoothing_swaps_alternating_runs(spark):
     assert run(spark, "ABABA") == "AABAA"
+
+
+def test_intervals_of_any_length_make_few_rows(spark):
+    rng = random.Random(3)
+    spans = [(rng.uniform(-1e5, 1e5), rng.choice([0.0, 5.0, 40.0, 1e4, 2e4, 1e9, 1e15])) for _ in range(60)]
+    spans += [(-1e300, 2e300), (-3e9, 1.0), (4e16, 1.0), (0.0, 1e18)]
+    turns = [("f", s, s + n, f"l{i}") for i, (s, n) in enumerate(spans)]
+    chunks = [("f", i, s + rng.choice([0.0, 3.0, 1e4]), s + n * rng.choice([1.0, 0.5, 0.0])) for i, (s, n) in enumerate(spans)]
+    t = spark.createDataFrame(turns, "file string, start double, end double, label string")
+    c = spark.createDataFrame(chunks, "file string, pos long, start double, end double")
+    found = S.touching(c, t)
+    got = sorted((r.pos, r.label) for r in found.collect())
+    expected = []
+    for _, pos, s, e in chunks:
+        at = (s + e) / 2 if e > s else s
+        expected += [(pos, label) for _, a, b, label in turns if min(e, b) - max(s, a) > 0 or a <= at <= b]
+    assert got == sorted(expected)
+    rows = c.select(F.explode(S._placed(F.col("start"), F.col("end"), 30.0, "chunk", "turn"))).count()
+    assert rows < 2 * 3 * S.MOST_BINS * len(chunks)
