@@ -8,6 +8,7 @@ from dataclasses import dataclass, fields
 
 @dataclass(frozen=True)
 class Config:
+    # Names and defaults, so that one environment means the same everywhere.
     language: str = "korean"
     word_chunk_seconds: float = 0.0
     word_chunk_stride_seconds: float = 5.0

@@ -13,7 +13,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .functions.numbers import generation_limit, time_limit
+from .config import DEFAULT, Config
+from .functions import text as T
+from .functions.numbers import generation_limit, time_limit, truncation_reason
 
 
 class Adapter(Protocol):
@@ -86,6 +88,18 @@ def with_prompt(df: DataFrame, templates: dict[str, str], kind: Column, text: st
     return df.withColumn("prompt", F.replace(chosen, F.lit("{text}"), F.col(text)))
 
 
+def input_error(text: Column, tokens: Column, config: Config = DEFAULT) -> Column:
+    """Why a text can't be given to the masking model, or null: it is blank, or longer than the model takes."""
+    blank = F.coalesce(T.is_blank(text), F.lit(True))
+    return F.when(blank, F.lit("blank text")).when(tokens > config.max_input_tokens, F.concat(F.lit("too long: "), tokens.cast("string"), F.lit(f" of {config.max_input_tokens} tokens")))
+
+
+def output_error(text: Column, last_token: Column, generated: Column, limit: Column, stops: Column) -> Column:
+    """Why a model's output can't be used, or null: it is blank, or didn't end with a stop token."""
+    cut = truncation_reason(last_token, generated, limit, stops)
+    return F.when(F.coalesce(T.is_blank(text), F.lit(True)), F.lit("blank result")).otherwise(cut)
+
+
 def with_budget(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Adds `max_new_tokens` and `max_seconds` by the number of input tokens."""
     return df.withColumn("max_new_tokens", generation_limit(F.col(tokens))).withColumn("max_seconds", time_limit(F.col("max_new_tokens")))

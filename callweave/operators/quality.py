@@ -60,6 +60,13 @@ def recorded_short(document: Column) -> Column:
     return ratio.isNotNull() & (F.get_json_object(document, "$.coverage.short_transcript") == "true")
 
 
+def speech_status(audio: DataFrame, turns: DataFrame) -> DataFrame:
+    """(file, status): `vad_silence` for recordings in which no turn has a length, else `speech`."""
+    spoken = turns.where(F.col("end") > F.col("start")).select(F.col("file").alias("_f")).distinct()
+    rows = audio.select("file").distinct().join(spoken, F.col("file") == F.col("_f"), "left")
+    return rows.select("file", F.when(F.col("_f").isNull(), "vad_silence").otherwise("speech").alias("status"))
+
+
 def word_counters(words: DataFrame, turns: DataFrame) -> DataFrame:
     """(file, total_words, unassigned_words, retry_words, turns) from mapped words (file, raw_speaker, source) and turns."""
     w = words.groupBy("file").agg(F.count(F.lit(1)).alias("total_words"), F.count_if(F.col("raw_speaker").isNull()).alias("unassigned_words"), F.count_if(F.col("source") == "retry").alias("retry_words"))

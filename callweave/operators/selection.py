@@ -76,7 +76,32 @@ def unfinished(sources: DataFrame, *results: DataFrame, file: str = "file", text
     return sources if done is None else sources.join(done, F.col(file) == F.col("_f"), "left_anti")
 
 
+def with_suffix(file: Column, suffix: str) -> Column:
+    """A path with another suffix in the place of its last one."""
+    return F.concat(F.regexp_replace(file, r"\.[^./]*$", ""), F.lit(suffix))
+
+
+def matched(sources: DataFrame, results: DataFrame, suffix: str, file: str = "file") -> DataFrame:
+    """(file, result, found) for each source: the path of its result, by the changed suffix, and whether results has it.
+
+    A source without a result is that file's failure only.
+    """
+    there = results.select(F.col(file).alias("_r")).distinct().withColumn("_is", F.lit(True))
+    rows = sources.select(F.col(file).alias("file")).distinct().withColumn("result", with_suffix(F.col("file"), suffix))
+    return rows.join(there, F.col("result") == F.col("_r"), "left").select("file", "result", F.coalesce("_is", F.lit(False)).alias("found"))
+
+
+def jobs(files: DataFrame, suffix: str, n: int | None = None, which: tuple[int, int] | None = None, file: str = "file") -> DataFrame:
+    """(index, file, output) of a run: the first n files in path order, of those the shard's; no files at all are an error."""
+    listed = files.select(F.col(file).alias("file")).distinct()
+    if listed.isEmpty():
+        raise ValueError("there are no files")
+    taken = numbered(first_files(listed, n), path_order(F.col("file")))
+    if which is not None:
+        taken = taken.where(F.col("index") % which[1] == which[0])
+    return taken.select("index", "file", with_suffix(F.col("file"), suffix).alias("output"))
+
+
 def collisions(sources: DataFrame, file: str = "file") -> DataFrame:
     """(output, files): sources that would write the same output, as `a.wav` and `a.WAV`."""
-    stem = F.regexp_replace(F.col(file), r"\.[^./]*$", "")
-    return sources.groupBy(stem.alias("output")).agg(F.sort_array(F.collect_set(file)).alias("files")).where(F.size("files") > 1)
+    return sources.groupBy(with_suffix(F.col(file), "").alias("output")).agg(F.sort_array(F.collect_set(file)).alias("files")).where(F.size("files") > 1)

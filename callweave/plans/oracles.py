@@ -185,6 +185,33 @@ def _found_values(kind: str) -> str:
     return f"list_transform(list_sort(list({{'e': e, 'v': value}}) FILTER (type = '{kind}')), lambda z: z.v)"
 
 
+_RETRIED = f"""{_GAPS}, {_AUDIO}, {_RAW}, gn AS (SELECT *, unnest(range(0, greatest(1, CAST(ceil((e - s) / 20.0) AS BIGINT)))) AS i FROM gaps),
+    gp AS (SELECT file, s + i * 20.0::DOUBLE AS s, least(s + (i + 1) * 20.0::DOUBLE, e) AS e FROM gn),
+    gw AS (SELECT file, s AS ms, e AS me, greatest(0.0::DOUBLE, s - 0.5) AS cs, least(e + 0.5, coalesce(audio_seconds, e + 0.5)) AS ce FROM gp LEFT JOIN audio USING (file) WHERE s < e),
+    heard AS (SELECT w.file, ms, me, cs, ce, r.s - cs AS s, r.e - cs AS e, text FROM gw w JOIN spoken r ON r.file = w.file AND r.s < ce AND r.e > cs WHERE r.s IS NOT NULL AND r.e IS NOT NULL),
+    inside AS (SELECT file, ms, me, cs, s + cs AS s, least(e, ce - cs) + cs AS e, text FROM heard WHERE s < ce - cs AND least(e, ce - cs) > s),
+    centred AS (SELECT * FROM inside WHERE (s + e) / 2 BETWEEN ms AND me)"""
+_PICKED = f"""{_CHUNKS}, {_NUMBERED},
+    lbl AS (SELECT file, label, '화자' || row_number() OVER (PARTITION BY file ORDER BY min({{'s': s, 'e': e, 'l': label}})) AS name FROM tn GROUP BY file, label),
+    nl AS (SELECT nt.file, s, e, name AS label, row_number() OVER (PARTITION BY nt.file ORDER BY s, e, name) AS turn FROM nt JOIN lbl USING (file, label)),
+    ov AS (SELECT c.file, c.pos, list_prepend({{'t': 0::BIGINT, 'o': 0.0::DOUBLE, 'r': 0.0::DOUBLE, 'l': NULL::VARCHAR}}, list({{'t': n.turn, 'o': least(c.e, n.e) - greatest(c.s, n.s), 'r': n.e - c.e, 'l': n.label}} ORDER BY n.turn)) AS l
+        FROM chunks c JOIN nl n ON c.file = n.file AND least(c.e, n.e) - greatest(c.s, n.s) > 0 GROUP BY c.file, c.pos),
+    best AS (SELECT file, pos, list_reduce(l, lambda a, x: CASE WHEN a.l IS NULL OR x.o > a.o + 0.05::DOUBLE OR (NOT (x.o < a.o - 0.05::DOUBLE) AND x.r > a.r) THEN x ELSE a END).l AS label FROM ov),
+    mid AS (SELECT c.file, c.pos, min_by(n.label, {{'d': CASE WHEN (c.s + c.e) / 2 BETWEEN n.s AND n.e THEN 0.0 ELSE least(abs((c.s + c.e) / 2 - n.s), abs((c.s + c.e) / 2 - n.e)) END, 't': n.turn}}) AS label
+        FROM chunks c JOIN nl n USING (file) GROUP BY c.file, c.pos),
+    pk AS (SELECT c.file, c.pos, c.s, c.e, c.text, coalesce(b.label, m.label, '화자미상') AS speaker FROM chunks c LEFT JOIN best b USING (file, pos) LEFT JOIN mid m USING (file, pos)),
+    pb AS (SELECT *, CASE WHEN row_number() OVER w > 1 AND speaker IS NOT DISTINCT FROM lag(speaker) OVER w THEN 0 ELSE 1 END AS c FROM pk WINDOW w AS (PARTITION BY file ORDER BY pos)),
+    pn AS (SELECT *, sum(c) OVER (PARTITION BY file ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM pb),
+    pg AS (SELECT file, run, count(*) AS n, arg_min(s, pos) AS s, arg_max(e, pos) AS e, any_value(speaker) AS sp FROM pn GROUP BY file, run),
+    pv AS (SELECT file, run, lag(sp) OVER w AS other, coalesce(lag(run) OVER w IS NOT NULL AND lead(run) OVER w IS NOT NULL AND lag(sp) OVER w IS NOT DISTINCT FROM lead(sp) OVER w AND n <= 2 AND e - s <= 0.8::DOUBLE
+        AND s - lag(e) OVER w <= 0.05::DOUBLE AND lead(s) OVER w - e <= 0.05::DOUBLE, false) AS fits FROM pg WINDOW w AS (PARTITION BY file ORDER BY run)),
+    sm AS (SELECT file, pos, s, e, text, CASE WHEN fits THEN other ELSE speaker END AS speaker FROM pn JOIN pv USING (file, run))"""
+
+
+def _json_list(name: str) -> str:
+    return f"""CASE WHEN len(info.{name}) = 0 THEN '[]' ELSE '[' || chr(10) || array_to_string(list_transform(info.{name}, lambda v: '      ' || coalesce(CAST(to_json(v) AS VARCHAR), 'null')), ',' || chr(10)) || chr(10) || '    ]' END"""
+
+
 ORACLES = {
     "p5_found": """
         WITH v AS (
@@ -301,4 +328,43 @@ ORACLES = {
     "timestamp_documents": f"""WITH {_CHUNKS}, {_AUDIO}, c AS (SELECT file, CAST(count(*) AS INT) AS chunks, max(e) AS transcript_end, min(CASE WHEN regexp_matches(coalesce(text, ''), '\\S') AND s IS NOT NULL THEN 1 ELSE 0 END) AS good FROM chunks GROUP BY file)
         SELECT file, chunks, transcript_end, coalesce(CASE WHEN audio_seconds > 0 THEN transcript_end / audio_seconds END < 0.9::DOUBLE, false) AS short_transcript FROM c JOIN audio USING (file) WHERE good = 1""",
     "recorded_short": "SELECT file, any_value(coverage.ratio) IS NOT NULL AND coalesce(any_value(coverage.short_transcript), false) AS short_transcript FROM stt_timestamps GROUP BY file",
+    "clipped_words": f"""WITH {_RETRIED} SELECT file, round(s, 6) AS start, round(e, 6) AS "end", text, round(cs, 6) AS crop_start FROM inside""",
+    "centred_words": f"""WITH {_RETRIED} SELECT file, round(s, 6) AS start, round(e, 6) AS "end", text, round(ms, 6) AS missing_start FROM centred""",
+    "probable_words": f"""WITH {_RAW}, p AS (SELECT file, pos, s, least(e, 1e6) AS e, CASE WHEN pos % 5 <> 0 THEN (pos % 100) / 100.0::DOUBLE END AS probability FROM spoken WHERE s < 1e6 AND e IS NOT NULL)
+        SELECT file, pos, s + 0.0 AS start, e AS "end", probability FROM p WHERE e > s AND (s + e) / 2 BETWEEN 5.0 AND 1e6 AND coalesce(probability >= 0.35::DOUBLE, true)""",
+    "new_exact_words": f"""WITH {_FRESH.replace("lower(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS w", "text AS w")} SELECT file, r.pos AS pos, r.s AS start, r.e AS "end" FROM kept""",
+    "recovered_counts": f"""WITH {_RETRIED}, fr AS (SELECT file, row_number() OVER (PARTITION BY file ORDER BY s, e, text) - 1 AS pos, s, e, lower(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS w, (s + e) / 2 AS m FROM centred),
+        {_FRESH[_FRESH.index("og AS"):]}, k AS (SELECT file, count(*) AS n FROM kept GROUP BY file), c AS (SELECT file, count(*) AS n FROM chunks GROUP BY file)
+        SELECT file, coalesce(k.n, 0) + coalesce(c.n, 0) AS words, coalesce(k.n, 0) + coalesce(c.n, 0) - 1 AS last_pos FROM k FULL JOIN c USING (file)""",
+    "diarized_text": f"""WITH {_PICKED}, {_lines("sm", True)} SELECT file, string_agg(speaker || ': ' || text, chr(10) ORDER BY line) || chr(10) AS text FROM lines GROUP BY file""",
+    "text_round_trip": f"WITH {_TEXTS} SELECT file, md5(text) AS text_md5, strlen(text) AS length FROM texts",
+    "bad_encodings": f"WITH {_TEXTS} SELECT file, true AS utf8, false AS other FROM texts",
+    "wav_lengths": f"WITH {_AUDIO} SELECT file, CASE WHEN round(audio_seconds * 1000) > 0 THEN round(audio_seconds * 1000) / 1000 END AS seconds FROM audio",
+    "summary_round_trip": f"""WITH {_RESULTS}, p AS (SELECT shard, {_SUMMARY} FROM st GROUP BY shard)
+        SELECT 'shard-' || shard AS file, CASE WHEN failed = 0 THEN total END AS total, CASE WHEN failed = 0 THEN succeeded END AS succeeded, CASE WHEN failed = 0 THEN skipped END AS skipped, CASE WHEN failed = 0 THEN failed END AS failed,
+            CASE WHEN failed = 0 THEN short_transcripts END AS short_transcripts FROM p""",
+    "state_after_run": """WITH z AS (SELECT file, len(any_value(chunks)) AS size FROM stt_timestamps GROUP BY file),
+        o AS (SELECT file, size - size % 2 AS size, CASE WHEN size % 5 = 0 THEN 'open' ELSE 'complete' END AS status FROM z WHERE size % 3 <> 0), f AS (SELECT file, size FROM z WHERE size % 7 <> 0)
+        SELECT file, size, status, 'old' AS coverage FROM o WHERE file NOT IN (SELECT file FROM f)
+        UNION ALL SELECT f.file, f.size, 'complete', CASE WHEN o.size = f.size AND o.status = 'complete' THEN 'old' ELSE 'new' END FROM f LEFT JOIN o USING (file)""",
+    "kept_results": f"WITH {_RESULTS} SELECT DISTINCT file FROM diarization WHERE file NOT IN (SELECT file FROM st WHERE status = 'failed')",
+    "matched_results": "SELECT DISTINCT file, regexp_replace(file, '\\.[^./]*$', '') || '.txt' AS result, regexp_replace(file, '\\.[^./]*$', '') || '.txt' IN (SELECT file FROM diarization) AS found FROM stt_timestamps",
+    "job_list": """WITH f AS (SELECT file, row_number() OVER (ORDER BY string_split(file, '/')) - 1 AS "index" FROM (SELECT DISTINCT file FROM stt_timestamps))
+        SELECT "index", file, regexp_replace(file, '\\.[^./]*$', '') || '.json' AS output FROM f WHERE "index" % 3 = 1""",
+    "output_collisions": """WITH f AS (SELECT file FROM stt_timestamps UNION SELECT file FROM text_files)
+        SELECT regexp_replace(file, '\\.[^./]*$', '') AS output, string_agg(file, '|' ORDER BY file) AS files FROM f GROUP BY 1 HAVING count(*) > 1""",
+    "shard_labels": """WITH t AS (SELECT DISTINCT regexp_extract(file, '^[^/]+') AS gpu FROM stt_timestamps), w AS (SELECT gpu, CAST(row_number() OVER (ORDER BY gpu, k) - 1 AS INT) AS shard FROM t, range(3) r(k)), n AS (SELECT count(*) AS n FROM w)
+        SELECT shard, gpu, lpad(CAST(shard AS VARCHAR), CAST(length(CAST(n - 1 AS VARCHAR)) AS INT), '0') || '/' || n AS label FROM w, n""",
+    "masking_errors": """SELECT doc_id, CASE WHEN text IS NULL OR NOT regexp_matches(text, '[^\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]') THEN 'blank text'
+        WHEN length(text) * 8 > 8192 THEN 'too long: ' || length(text) * 8 || ' of 8192 tokens' END AS error FROM documents""",
+    "stop_reasons": """SELECT doc_id, CASE WHEN text IS NULL OR NOT regexp_matches(text, '[^\\s\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]') THEN 'blank result'
+        WHEN n_chars % 11 IN (0, 2, 5) THEN NULL WHEN n_chars >= 700 THEN 'token-limit' ELSE 'time-limit' END AS reason FROM documents WHERE n_chars IS NOT NULL""",
+    "prompts": f"""WITH {_TEXTS}, k AS (SELECT file, text, 'plain' AS kind, '일반 전사 텍스트' AS said FROM texts UNION ALL SELECT DISTINCT file, text, 'diarized', '화자 구분 텍스트' FROM diarization WHERE text IS NOT NULL)
+        SELECT file, kind, md5(said || ': ' || text || ' [' || text || ']') AS prompt_md5 FROM k""",
+    "progress_lines": "SELECT doc_id, md5(string_split(text, chr(13))[-1]) AS shown_md5 FROM documents WHERE text IS NOT NULL",
+    "speech_status": f"""WITH {_TURNS}, v AS (SELECT DISTINCT file FROM tn WHERE e > s AND label <> 'SPEAKER_00')
+        SELECT file, CASE WHEN file IN (SELECT file FROM v) THEN 'speech' ELSE 'vad_silence' END AS status FROM (SELECT DISTINCT file FROM stt_timestamps)""",
 }
+ORACLES["info_texts"] = f"""WITH d AS ({ORACLES["info_document"]})
+    SELECT anon_id || '.txt' AS file, '{{' || chr(10) || '  "file": ' || CAST(to_json(anon_id || '.txt') AS VARCHAR) || ',' || chr(10) || '  "info": {{' || chr(10) || '    "name": ' || {_json_list("name")} || ',' || chr(10)
+        || '    "birthdate": ' || {_json_list("birthdate")} || ',' || chr(10) || '    "phone": ' || {_json_list("phone")} || chr(10) || '  }}' || chr(10) || '}}' || chr(10) AS text FROM d"""

@@ -5,16 +5,19 @@ Tables are delivered with repeated rows; what an operator takes is each file, ch
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import models
 from ..config import Config
 from ..functions import numbers
 from ..functions import text as T
 from ..operators import intervals, lines, masking, quality, recovery, redaction, selection, speakers, timeline
-from ..session import table
-from ..sources import sinks
-from ..storage import written
+from ..session import shared_folder, table
+from ..sources import files, sinks
+from ..storage import remove_later, written
 
 
 def _ms(column: str):
@@ -332,13 +335,13 @@ def token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = table(spark, sf_dir, "documents").where("source is not null").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("file"))
-    return selection.first_files(files, 100)
+    paths = table(spark, sf_dir, "documents").where("source is not null").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("file"))
+    return selection.first_files(paths, 100)
 
 
 def shard_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = table(spark, sf_dir, "stt_timestamps").select("file").distinct()
-    return selection.shard(files, selection.parse_shard("1/3"))
+    paths = table(spark, sf_dir, "stt_timestamps").select("file").distinct()
+    return selection.shard(paths, selection.parse_shard("1/3"))
 
 
 def resume_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,8 +351,6 @@ def resume_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timestamp_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written and read again: per file the chunks and the state of its coverage."""
-    from ..sources import files
-
     rows = chunks(spark, sf_dir)
     state = timeline.coverage(rows, audio(spark, sf_dir))
     good, _ = files.check_documents(sinks.timestamp_documents(rows, state))
@@ -362,10 +363,186 @@ def recorded_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("file", quality.recorded_short(F.col("d")).alias("short_transcript"))
 
 
+# --- retried speech ---
+
+
+def _retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw chunks in the place of what a model hears in the retry windows, timed within their crops."""
+    missing = recovery.missing_speech(turns(spark, sf_dir), chunks(spark, sf_dir))
+    windows = recovery.retry_windows(missing, audio(spark, sf_dir))
+    return models.from_table(_given(spark, sf_dir))(windows)
+
+
+def _given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timeline.spoken(raw(spark, sf_dir)).where("start is not null and end is not null")
+
+
+def clipped_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retried words within their crops, in the recording's time."""
+    return intervals.clip_to_crop(_retried(spark, sf_dir)).select("file", "start", "end", "text", "crop_start").withColumns(_micro("start", "end", "crop_start"))
+
+
+def centred_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those whose centre lies in the missing piece."""
+    return intervals.centred_in(intervals.clip_to_crop(_retried(spark, sf_dir))).select("file", "start", "end", "text", "missing_start").withColumns(_micro("start", "end", "missing_start"))
+
+
+def probable_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw chunks as words of a made-up probability within a crop of their whole recording: those that aren't improbable."""
+    rows = _given(spark, sf_dir).withColumns({"probability": F.when(F.col("pos") % 5 != 0, F.col("pos") % 100 / 100), "crop_start": F.lit(0.0), "crop_end": F.lit(1e6), "missing_start": F.lit(5.0), "missing_end": F.lit(1e6)})
+    return recovery.accept_retry(rows).select("file", "pos", "start", "end", "probability")
+
+
+def new_exact_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As dedupe_recovered, with texts compared as they are."""
+    original = chunks(spark, sf_dir).select("file", "pos", "start", "end", "text")
+    return recovery.new_words(original, _given(spark, sf_dir), same_text=lambda c: c).select("file", "pos", "start", "end")
+
+
+def recovered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words per file after one pass of retries."""
+    original = chunks(spark, sf_dir).select("file", "pos", "start", "end", "text")
+    after = recovery.recover(original, turns(spark, sf_dir), audio(spark, sf_dir), models.from_table(_given(spark, sf_dir)))
+    return after.groupBy("file").agg(F.count(F.lit(1)).alias("words"), F.max("pos").alias("last_pos"))
+
+
+def diarized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with speakers from chunks and turns: labelled, assigned by overlap, smoothed, merged."""
+    named = speakers.label_speakers(turns(spark, sf_dir)).select("file", "start", "end", F.col("speaker").alias("label"))
+    assigned = speakers.smooth(speakers.pick_speakers(chunks(spark, sf_dir).drop("speaker"), named))
+    return lines.document(lines.merge_lines(assigned.select("file", "pos", "start", "end", "text", "speaker")))
+
+
+# --- files ---
+
+
+def _put(df: DataFrame, suffix: str) -> str:
+    """Writes texts (file, text) as files into a folder of their own and gives its path."""
+    folder = f"{shared_folder(df.sparkSession).rstrip('/')}/callweave-files-{uuid.uuid4().hex}"
+    failed = sinks.write_files(df, folder, suffix).where("error is not null").count()
+    if failed:
+        raise OSError(f"{failed} files couldn't be written to {folder}")
+    remove_later(df.sparkSession, folder)
+    return folder
+
+
+def text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts written as files, found and read again."""
+    folder = _put(texts(spark, sf_dir), ".txt")
+    good, _ = files.texts(spark, folder)
+    sizes = files.scan(spark, folder, ".TXT").select("file", "length")
+    return good.join(sizes, "file").select("file", F.md5("text").alias("text_md5"), "length")
+
+
+def bad_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of texts in two encodings those that aren't UTF-8."""
+    raw_bytes = texts(spark, sf_dir).select("file", F.encode("text", "UTF-16BE").alias("content"), F.col("text").alias("t"))
+    return raw_bytes.select("file", F.is_valid_utf8(F.encode("t", "UTF-8").cast("string")).alias("utf8"), F.is_valid_utf8(F.concat(F.col("content"), F.unhex(F.lit("FF"))).cast("string")).alias("other"))
+
+
+def wav_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths by the headers of WAV files at 1,000 frames a second."""
+    frames = F.round(F.col("audio_seconds") * 1000).cast("long")
+
+    def little(value) -> F.Column:  # four bytes, the lowest first
+        text = F.lpad(F.hex(value), 8, "0")
+        return F.concat(*(F.substring(text, i, 2) for i in (7, 5, 3, 1)))
+
+    plain = "57415645666D7420" + "10000000" + "0100" + "0100" + "E8030000" + "D0070000" + "0200" + "1000" + "64617461"
+    header = F.unhex(F.concat(F.lit("52494646"), little(frames * 2 + 36), F.lit(plain), little(frames * 2)))
+    return audio(spark, sf_dir).select("file", files.wav_seconds(F.coalesce(header, F.unhex(F.lit("00")))).alias("seconds"))
+
+
+def summary_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of shards as documents and read again; those of failed shards lack a count and can't be read."""
+    parts = _by_shard(spark, sf_dir).withColumn("total", F.when(F.col("failed") == 0, F.col("total")))
+    names = [*quality.COUNTS, "short_transcripts"]
+    documents = parts.select(F.concat(F.lit("shard-"), F.col("shard")).alias("file"), F.to_json(F.struct(*names)).alias("text"))
+    return files.summaries(documents)
+
+
+def info_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of what was masked as JSON documents."""
+    documents = info_document(spark, sf_dir).withColumn("file", F.concat(F.col("anon_id").cast("string"), F.lit(".txt")))
+    return redaction.info_json(documents)
+
+
+def state_after_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of finished files: complete ones stay if what they depend on is the same, others are replaced."""
+    sized = recordings(spark, sf_dir).select("file", F.size("chunks").cast("long").alias("size"))
+    stamp = lambda size: sinks.fingerprint({"language": "korean"}, size, F.lit(None).cast("timestamp"))
+    old = sized.where(F.col("size") % 3 != 0).select("file", stamp(F.col("size") - F.col("size") % 2).alias("fingerprint"), F.when(F.col("size") % 5 == 0, "open").otherwise("complete").alias("status"), F.lit("old").alias("coverage"))
+    finished = sized.where(F.col("size") % 7 != 0).select("file", stamp(F.col("size")).alias("fingerprint"), F.lit("new").alias("coverage"))
+    return sinks.completed_state(old, finished).select("file", F.col("fingerprint.size").alias("size"), "status", "coverage")
+
+
+def kept_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored results without those of files that failed in this run."""
+    failed = _results(spark, sf_dir).where("status = 'failed'").select("file")
+    return sinks.without_failed(table(spark, sf_dir, "diarization").select("file").distinct(), failed)
+
+
+def matched_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings and their texts with speakers, by the changed suffix."""
+    return selection.matched(table(spark, sf_dir, "stt_timestamps"), table(spark, sf_dir, "diarization"), ".txt")
+
+
+def job_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of three shards of all recordings with their outputs."""
+    return selection.jobs(table(spark, sf_dir, "stt_timestamps"), ".json", which=(1, 3))
+
+
+def output_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of texts and recordings that would write the same output."""
+    every = table(spark, sf_dir, "stt_timestamps").select("file").union(table(spark, sf_dir, "text_files").select("file")).distinct()
+    return selection.collisions(every).select("output", F.array_join("files", "|").alias("files"))
+
+
+def shard_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workers on the devices that teams stand for."""
+    teams = [r[0] for r in table(spark, sf_dir, "stt_timestamps").select(F.regexp_extract("file", r"^[^/]+", 0).alias("t")).distinct().orderBy("t").collect()]
+    return spark.createDataFrame(selection.shard_labels(teams, 3), "shard int, gpu string, label string")
+
+
+# --- models ---
+
+
+def masking_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why documents can't be given to the model, with characters in the place of tokens."""
+    return table(spark, sf_dir, "documents").select("doc_id", models.input_error(F.col("text"), F.length("text") * 8).alias("error"))
+
+
+def stop_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ended made-up outputs: the last token, or a limit."""
+    n = F.col("n_chars")
+    stops = F.array(*map(F.lit, models.stop_tokens([2, 5], 2, None, [0])))
+    return table(spark, sf_dir, "documents").where("n_chars is not null").select("doc_id", models.output_error(F.col("text"), n % 11, n, F.lit(700), stops).alias("reason"))
+
+
+def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts of all texts by their kind."""
+    plain = texts(spark, sf_dir).select("file", "text", F.lit("plain").alias("kind"))
+    spoken = table(spark, sf_dir, "diarization").where("text is not null").select("file", "text", F.lit("diarized").alias("kind")).distinct()
+    templates = {k: f"{said}: {{text}} [{{text}}]" for k, said in models.PROMPT_KINDS.items()}
+    return models.with_prompt(plain.unionByName(spoken), templates, F.col("kind")).select("file", "kind", F.md5("prompt").alias("prompt_md5"))
+
+
+def progress_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What documents show behind their last return."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.md5(T.after_last_return(F.col("text"))).alias("shown_md5"))
+
+
+def speech_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.speech_status(audio(spark, sf_dir), turns(spark, sf_dir).where("label <> 'SPEAKER_00'"))
+
+
 QUERIES = {f.__name__: f for f in (
     p5_found, interval_union, interval_union_keep_empty, interval_union_sorted, word_coverage, speech_gaps, split_gaps,
     split_gaps_20, retry_windows,
-    normalize_null_times, repair_timeline, prepared_chunks, coverage_report, timeline_mismatch, label_speakers, speaker_count,
+    normalize_null_times, repair_timeline, prepared_chunks, coverage_report, timeline_mismatch, clipped_words, centred_words, probable_words,
+    new_exact_words, recovered_counts, diarized_text, text_round_trip, bad_encodings, wav_lengths, summary_round_trip, info_texts,
+    state_after_run, kept_results, matched_results, job_list, output_collisions, shard_labels, masking_errors, stop_reasons,
+    prompts, progress_lines, speech_status, label_speakers, speaker_count,
     pick_speaker_tolerance, pick_speaker_max, nearest_speaker, smooth_speakers, mapped_words, plain_lines, speaker_lines, plain_text,
     speaker_turns, srt_cues, speaker_text, dedupe_recovered, merged_recovered, mask_known, mask_phones_spoken, redacted_lines,
     redaction_entries, redaction_summary, info_document, shape_check, line_tokens, canonical_text, run_summary, stage_counts,

@@ -35,12 +35,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a folder of this machine only where the cluster names none (tests, local mode)."""
+    """The folder all executors share, as `spark.checkpoint.dir` or the context's checkpoint folder names it.
+
+    In local mode, where neither is set, it's a folder of this machine; on a cluster that would lose rows, so it's an error.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         current = context._jsc.sc().getCheckpointDir()
-        folder = current.get() if current.isDefined() else "file://" + tempfile.mkdtemp(prefix="callweave-checkpoint-")
+        if current.isDefined():
+            folder = current.get()
+        elif context.master.startswith("local") and not context.master.startswith("local-cluster"):
+            folder = "file://" + tempfile.mkdtemp(prefix="callweave-checkpoint-")
+        else:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(folder)
     return folder

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ def write_files(df: DataFrame, root: str, suffix: str, file: str = "file", text:
     root must be a folder that all executors mount. Lazy: the files are written when the result is used. A task
     that is run again writes the same files again.
     """
-    base = root.removeprefix("file://")
+    base = re.sub(r"^file:/+", "/", root)
     slim = df.select(F.col(file).alias("file"), F.col(text).alias("text"))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .session import shared_folder
 
@@ -17,10 +17,15 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/callweave-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append((spark, path))
+    remove_later(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_later(spark: SparkSession, path: str) -> None:
+    """The folder is removed as those of `written`."""
+    _written.append((spark, path))
+
+
 def release() -> None:
     """Removes the tables written so far; what was derived from them can't be computed any more."""
     _remove()
@@ -33,8 +38,8 @@ def _remove() -> None:
             jvm = spark.sparkContext._jvm
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the JVM may be gone already
-            return
+        except Exception:  # the JVM, or the folder, may be gone already: the others are tried all the same
+            continue
 
 
 atexit.register(_remove)
