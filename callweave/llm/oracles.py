@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import leakage
+from . import leakage, repetition
 
 _SPACE = r"\s\x{1c}-\x{1f}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 # labels are matched with the space before them, twice, as two of them may share one
@@ -10,7 +10,57 @@ _COMPACT = "regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]', '', 'g')".format(
     f"regexp_replace(regexp_replace(text, '(?i)(^|[{_SPACE}]){leakage.LABEL}[{_SPACE}]?[:：]', '\\1 ', 'g'), '(?i)(^|[{_SPACE}]){leakage.LABEL}[{_SPACE}]?[:：]', '\\1 ', 'g')"
 )
 
+_WS = r"\s\x{1c}-\x{1f}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
+def _parts(name: str, split: str) -> str:
+    """The share of characters in parts of a text that stood in it before."""
+    return f"""{name}_p AS (SELECT id, unnest(list_transform({split}, lambda q: regexp_replace(q, '^[{_WS}]+|[{_WS}]+$', '', 'g'))) AS q FROM t WHERE text IS NOT NULL),
+        {name}_c AS (SELECT id, q, count(*) AS n FROM {name}_p GROUP BY id, q),
+        {name} AS (SELECT id, CASE WHEN sum(length(q) * n) > 0 THEN sum(length(q) * (n - 1)) / sum(length(q) * n) ELSE 0.0 END AS share FROM {name}_c GROUP BY id)"""
+
+
+def _grams(name: str, n: int) -> str:
+    """The share of characters in runs of n words that stood in the text before."""
+    return f"""{name}_g AS (SELECT id, i, w[i:i + {n - 1}] AS g FROM (SELECT id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM w)),
+        {name}_o AS (SELECT id, i, row_number() OVER (PARTITION BY id, g ORDER BY i) AS k FROM {name}_g),
+        {name}_c AS (SELECT DISTINCT id, unnest(range(i, i + {n})) AS i FROM {name}_o WHERE k > 1),
+        {name}_s AS (SELECT c.id, sum(length(w[c.i])) AS n FROM {name}_c c JOIN w USING (id) GROUP BY c.id),
+        {name} AS (SELECT id, coalesce(n, 0) / greatest(1, list_sum(list_transform(w, lambda q: length(q)))) AS share FROM w LEFT JOIN {name}_s USING (id))"""
+
+
+_LEDGER = f"""t AS (SELECT row_number() OVER () AS id, file, text FROM text_files),
+        w AS (SELECT id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM t WHERE text IS NOT NULL),
+        z AS (SELECT id, array_to_string(w, '') AS s FROM w),
+        g AS (SELECT id, s, unnest(range(1, length(s) - 10)) AS i FROM z WHERE length(s) > 12),
+        f AS (SELECT id, i, min(i) OVER (PARTITION BY id, substr(s, i, 12)) AS first FROM g),
+        c AS (SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(range(i, i + 12)) AS p FROM f WHERE i > first) GROUP BY id),
+        span AS (SELECT id, coalesce(n, 0) / greatest(1, length(s)) AS share FROM z LEFT JOIN c USING (id)),
+        {_parts("line", "string_split_regex(text, '[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]')")},
+        {_parts("sentence", f"string_split_regex(regexp_replace(text, '([.?!…])[{_WS}]+', '\\1' || chr(1), 'g'), chr(1) || '|[\\r\\n]+')")},
+        {_parts("paragraph", f"string_split_regex(text, '(?:\\r\\n|\\r|\\n)[{_WS}]*(?:\\r\\n|\\r|\\n)')")},
+        word AS (SELECT id, CASE WHEN len(w) >= 20 THEN list_max(list_transform(list_distinct(w), lambda q: len(list_filter(w, lambda v: v = q)))) / len(w) ELSE 0.0 END AS share FROM w),
+        {_grams("bigram", 2)}, {_grams("quintuple", 5)},
+        m AS (SELECT t.file, span.share AS span, line.share AS line, sentence.share AS sentence, paragraph.share AS paragraph, word.share AS word, bigram.share AS bigram, quintuple.share AS quintuple
+            FROM t LEFT JOIN span USING (id) LEFT JOIN line USING (id) LEFT JOIN sentence USING (id) LEFT JOIN paragraph USING (id) LEFT JOIN word USING (id) LEFT JOIN bigram USING (id) LEFT JOIN quintuple USING (id))"""
+
+
+def _bits(**over: float) -> str:
+    """The failure bits of the rules named, or of all, at their base thresholds or others."""
+    base = dict(zip(repetition.RULES, repetition.THRESHOLDS))
+    return " + ".join(f"CASE WHEN {r} >= {over.get(r) or base[r]}::DOUBLE THEN {1 << i} ELSE 0 END" for i, r in enumerate(base) if not over or r in over)
+
+
+_POLICY_BITS = [(p, _bits(**{r: p.over.get(r, dict(zip(repetition.RULES, repetition.THRESHOLDS))[r]) for r in p.rules})) for p in repetition.POLICIES]
+_JUDGED = "j AS (" + " UNION ALL ".join(f"SELECT file, '{p.name}' AS policy, {p.version} AS version, {p.mask} AS mask, {bits} AS bits FROM m" for p, bits in _POLICY_BITS) + ")"
+
 ORACLES = {
+    "p1_ledger": f"""WITH {_LEDGER} SELECT file, {", ".join(f"{r} AS {r}_share" for r in repetition.RULES)}, {_bits()} AS failed FROM m""",
+    "p1_policies": f"""WITH {_LEDGER}, {_JUDGED} SELECT file, policy, version, bits FROM j WHERE bits <> 0""",
+    "p1_ablation": f"""WITH {_LEDGER}, {_JUDGED}, r AS (SELECT * FROM (VALUES {", ".join(f"('{r}', {1 << i})" for i, r in enumerate(repetition.RULES))}) v(rule, bit))
+        SELECT policy, version, rule, CAST(count(*) AS BIGINT) AS rows, count(*) FILTER (bits <> 0) AS failing, count(*) FILTER (bits & bit <> 0) AS by_rule, count(*) FILTER (bits = bit) AS only_by_rule,
+               coalesce(bit_or(bits) FILTER (bits & bit <> 0), 0) AS fails_with
+        FROM j, r WHERE mask & bit <> 0 GROUP BY policy, version, rule""",
     "p1_found": r"""
         WITH t AS (
             SELECT DISTINCT file, regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g') AS s FROM text_files WHERE text IS NOT NULL

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from ..storage import written
 from . import leakage, personal, repetition, shared_spans, splitting, tokenize, transcripts, truncation
 
 
@@ -40,6 +41,16 @@ def p1_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.ablation(repetition.ledger(table(spark, sf_dir, "text_files")))
 
 
+def p1_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every policy says of every text, from one stored ledger."""
+    stored = written(repetition.ledger(table(spark, sf_dir, "text_files")))
+    judged = None
+    for p in repetition.POLICIES:
+        rows = repetition.apply_policy(stored, p).select("file", F.lit(p.name).alias("policy"), F.lit(p.version).alias("version"), "bits")
+        judged = rows if judged is None else judged.unionByName(rows)
+    return judged
+
+
 # --- 2: texts cut off ---
 
 
@@ -164,7 +175,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_found, p1_ledger, p1_ablation, p2_found, p2_rates, p2_evidence, p2_limits, p3_found, p3_pieces, p4_found, p4_turns,
+    p1_found, p1_ledger, p1_policies, p1_ablation, p2_found, p2_rates, p2_evidence, p2_limits, p3_found, p3_pieces, p4_found, p4_turns,
     p6_found, p6_sanitised, p6_routes, p6_contexts, p7_ids, p7_tokens_by_source, p8_found, p8_items, p8_in_full, p8_cleaned, p9_found, p9_shares,
 )}
 

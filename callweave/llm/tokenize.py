@@ -13,12 +13,14 @@ ordinary text; a lone surrogate can't occur in Spark strings.
 from __future__ import annotations
 
 import base64
+import os
 import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,13 +162,16 @@ def encoder(path: str) -> ByteBpe:
 def encode_corpus(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", into: str = "ids") -> DataFrame:
     """One row (key, ids) for each row of df; only the two columns are read, nothing is shuffled.
 
+    path: the vocabulary where the driver finds it; executors get the file from the driver, once each.
     Columns of df other than key and text aren't used and may have any names. Repeated rows stay repeated.
     """
     slim = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
     kind = slim.schema["k"].dataType.simpleString()
+    df.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = encoder(path).packed
+        pack = encoder(SparkFiles.get(name)).packed
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
