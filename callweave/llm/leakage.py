@@ -17,7 +17,7 @@ count once; a document that occurs twice comes out twice only if its row does. O
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -138,14 +138,16 @@ class ItemSet:
                     kept.append(values)
         self.grams = [_Grams(n, *parts) for n, parts in lists.items()]
 
-    def candidates(self, codes: np.ndarray, ends: np.ndarray, share: float) -> Iterator[tuple[int, int, int, int]]:
+    def candidates(self, joined: str, ends: np.ndarray, share: float, least_held: float = 0.0) -> Iterator[tuple[int, int, int, int]]:
         """(item, text, first, last) of passages with enough different n-grams of an item in its order.
 
-        codes: several texts, each followed by a code that no item holds; ends: where each of them ends. Per item and
-        text the passages with most hits come first, and what overlaps one that was given isn't looked at again.
+        joined: several texts, each followed by a character that no item holds; ends: where each of them ends. Per item
+        and text the passages with most hits come first, and what overlaps one that was given isn't looked at again.
+        Where fewer than least_held of the item's words stand at all, in any order, nothing is looked at.
         """
         if not self.grams:
             return
+        codes = codes_of(joined)
         at, item, place = (np.concatenate(parts) for parts in zip(*(g.hits(codes) for g in self.grams)))
         text = np.searchsorted(ends, at, side="right")
         span = len(codes) + 1
@@ -154,18 +156,33 @@ class ItemSet:
         reach = np.maximum((self.lengths * PASSAGE).astype(np.int64), 1)
         until = np.searchsorted(item * span + at, item * span + np.minimum(at + reach[item], ends[text] if len(text) else at), side="left")
         least = np.maximum(1, np.ceil(share * self.sizes)).astype(np.int64)
-        counts = until - np.arange(len(at))
-        dense = np.flatnonzero(counts >= least[item])
+        dense = np.flatnonzero(until - np.arange(len(at)) >= least[item])
         if not len(dense):
             return
-        for group in np.split(dense, np.flatnonzero((np.diff(item[dense]) != 0) | (np.diff(text[dense]) != 0)) + 1):
-            i, n = int(item[group[0]]), int(text[group[0]])
+        firsts, lasts = at[dense], at[until[dense] - 1]
+        room = np.maximum(0, reach[item[dense]] - (lasts - firsts))  # see leaks
+        fronts, backs = (firsts - room).tolist(), (lasts + room + GRAM).tolist()
+        firsts, lasts = firsts.tolist(), lasts.tolist()
+        starts, stops = dense.tolist(), until[dense].tolist()
+        borders = np.flatnonzero((np.diff(item[dense]) != 0) | (np.diff(text[dense]) != 0)) + 1
+        lows = np.append(0, borders)
+        for a, hi, i, n in zip(lows.tolist(), np.append(borders, len(dense)).tolist(), item[dense[lows]].tolist(), text[dense[lows]].tolist()):
+            far, words, windows = int(reach[i]), self.words[i], []
+            enough = least_held * len(words)
+            begin, end = int(ends[n - 1]) if n else 0, int(ends[n]) - 1
+            while a < hi:
+                # the passages of windows that begin near each other lie in one part of the text
+                b = bisect_right(firsts, firsts[a] + far // 2, a, hi)
+                if sum(map(joined[max(begin, min(fronts[a:b])) : min(end, max(backs[a:b]))].__contains__, words)) >= enough:
+                    windows += range(a, b)
+                a = b
+            windows.sort(key=lambda w: starts[w] - stops[w])
             taken: list[tuple[int, int]] = []
-            for s in group[np.argsort(-counts[group], kind="stable")].tolist():
-                first, last = int(at[s]), int(at[until[s] - 1])
-                if any(first <= b and a <= last for a, b in taken):
+            for w in windows:
+                first, last = firsts[w], lasts[w]
+                if any(first <= y and x <= last for x, y in taken):
                     continue
-                if _rising(place[s : until[s]].tolist()) >= least[i]:
+                if _rising(place[starts[w] : stops[w]].tolist()) >= least[i]:
                     taken.append((first, last))
                     yield i, n, first, last
 
@@ -189,7 +206,7 @@ class ItemSet:
         beyond a single character on their own.
         """
         text = self.texts[i]
-        if self._in_order(i, passage) < least:
+        if sum(map(passage.__contains__, self.words[i])) < least * len(self.words[i]) or self._in_order(i, passage) < least:
             return 0.0
         covered = np.zeros(len(text), dtype=bool)
         for block in SequenceMatcher(None, text, passage, autojunk=False).get_matching_blocks():
@@ -204,7 +221,7 @@ class ItemSet:
         """(text, item, held share, whether it stands whole, start, end) in compact texts, all passages of each item."""
         ends = np.cumsum([len(t) + 1 for t in texts])
         found = []
-        for i, n, first, last in self.candidates(codes_of("".join(t + "\x00" for t in texts)), ends, share):
+        for i, n, first, last in self.candidates("".join(t + "\x00" for t in texts), ends, share, least):
             text, base = texts[n], int(ends[n]) - len(texts[n]) - 1
             first, last = first - base, min(last - base + min(GRAM, int(self.lengths[i])), len(text))
             # the hit passage may be any part of the item: look as far as the rest of it could reach
