@@ -29,7 +29,6 @@ character, and numbers and dates of fewer than six digits, aren't looked for. Of
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from math import log2
@@ -69,6 +68,8 @@ SYLLABLE_BITS = -4.0
 SYLLABLES = 11_172
 #: Counts as so many occurrences of each syllable in given names, seen or not.
 SMOOTHING = 0.005
+#: More names than this are looked up by what they begin with.
+FEW_NAMES = 100
 #: Known values of a file that are searched at once.
 PART_VALUES = 500
 
@@ -99,15 +100,21 @@ _given = re.compile(r"(?<![가-힣A-Za-z0-9])(?P<all>(?P<a>[가-힣])(?P<b>[가-
 _latin = re.compile(r"(?<![A-Za-z0-9@._+-])(?P<all>[A-Z][a-z]{1,20}\s{1,2}[A-Z][a-z]{1,20})(?![A-Za-z0-9@_+-])")
 
 
-_word = re.compile(r"(?<![^\W_])[^\W\d_]")
+_alnum = re.compile(r"[^\W_]")
+_syllables = re.compile("[가-힣]{3,}")
 _behind = re.compile(rf"(?:{TAILS})?(?![가-힣A-Za-z0-9])")
 _digit_run = re.compile(r"\d(?:[ \t().-]{0,3}\d){5,}")
 _any_date = re.compile(r"(?<!\d)\d{2}(?:\d{2})?\s?[./년-]\s{0,2}\d{1,2}\s?[./월-]\s{0,2}\d{1,2}(?:일(?:생)?)?(?!\d)")
 
 
+_foldable = re.compile("[" + "".join(map(re.escape, map(chr, _fold))) + "]")
+#: Every address holds one of these.
+_address_core = re.compile(r"(?:로|길)\s{1,3}\d|번지")
+
+
 def fold(text: str) -> str:
     """The text with plain digits, signs, dashes and spaces, character by character."""
-    return text.translate(_fold)
+    return text.translate(_fold) if _foldable.search(text) else text
 
 
 def digits_of(value: str) -> str:
@@ -155,11 +162,12 @@ class Known:
 
     def __init__(self, values: Iterable[tuple[str, str]]):
         self.every: set[tuple[str, str]] = set(values)
-        self.names: dict[str, list[str]] = {}
-        for kind, value in sorted(self.every, key=lambda v: (-len(v[1]), v)):
-            if kind == "name" and len(value) > 1:
-                for writing in dict.fromkeys((value, value.upper())):
-                    self.names.setdefault(writing[:2], []).append(writing)
+        # the longest first, as they are and in capitals
+        ordered = sorted((v for k, v in self.every if k == "name" and len(v) > 1), key=lambda v: (-len(v), v))
+        self.names = list(dict.fromkeys(w for v in ordered for w in (v, v.upper())))
+        self.by_front: dict[str, list[str]] = {}
+        for name in self.names if len(self.names) > FEW_NAMES else ():
+            self.by_front.setdefault(name[:2], []).append(name)
         self.phones = {v for k, v in self.every if k == "phone" and len(v) >= 6}
         self.dates = {v for k, v in self.every if k == "birthdate" and len(v) >= 6}
         self.sizes = sorted({len(v) for v in self.phones}, reverse=True)
@@ -171,16 +179,20 @@ class Known:
     def hits(self, plain: str) -> Iterator[tuple[str, int, int, str]]:
         """(kind, start, end, value) of the values that stand in a folded text; the longest name at each place."""
         if self.names:
-            places = [i for i, c in enumerate(plain) if not c.isspace()]
-            dense = "".join(plain[i] for i in places)
-            for m in _word.finditer(plain):
-                at = bisect_left(places, m.start())
-                for name in self.names.get(dense[at : at + 2], ()):
-                    if dense.startswith(name, at):
-                        end = places[at + len(name) - 1] + 1
-                        if _behind.match(plain, end) or re.fullmatch("[가-힣]{3,}", name) and "가" <= plain[end : end + 1] <= "힣":
-                            yield "name", m.start(), end, name
-                            break
+            dense = "".join(plain.split())
+            names = {n for f in {dense[i : i + 2] for i in range(len(dense) - 1)} & self.by_front.keys() for n in self.by_front[f]} if self.by_front else self.names
+            there = sorted((n for n in names if n in dense), key=lambda n: (-len(n), n))
+            places = [i for i, c in enumerate(plain) if not c.isspace()] if there else []
+            found: set[int] = set()
+            for name in there:
+                at = dense.find(name)
+                while at >= 0:
+                    start, end = places[at], places[at + len(name) - 1] + 1
+                    # at the beginning of a word; long names in any form of it
+                    if start not in found and not _alnum.match(plain, max(0, start - 1), start) and (_behind.match(plain, end) or _syllables.fullmatch(name) and "가" <= plain[end : end + 1] <= "힣"):
+                        found.add(start)
+                        yield "name", start, end, name
+                    at = dense.find(name, at + 1)
         if self.phones:
             for run in _digit_run.finditer(plain):
                 digits = [i for i in range(run.start(), run.end()) if plain[i].isdigit()]
@@ -220,7 +232,7 @@ def candidates(text: str, syllables: Syllables, known: Known = NOTHING, registry
             add("id_number", *m.span(), digits_of(m[0]), 0.0, True)
     for m in _phone.finditer(plain):
         add("phone", *m.span(), digits_of(m[0]), 0.0, True)
-    for m in _address.finditer(plain):
+    for m in _address.finditer(plain) if _address_core.search(plain) else ():
         units = [(u.start(), u[0]) for u in re.finditer(r"\S+", m["units"])]
         while units and units[0][1] in NO_UNITS:
             units.pop(0)
