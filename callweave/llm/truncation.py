@@ -111,18 +111,24 @@ def endings(df: DataFrame, text: str = "text") -> DataFrame:
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[str, np.ndarray] = {}
+            closing: dict[str, list[int]] = {}
+            places: dict[str, int] = {}
             for word, f, m, e in zip(*(c.to_pylist() for c in batch.columns)):
                 for n in (1, 2, 3):
-                    sums.setdefault(ending_key(word, n), np.zeros(5, np.int64))[:] += (f, m, e, 0, n)
+                    own = closing.setdefault(ending_key(word, n), [0, 0, 0])
+                    own[0] += f
+                    own[1] += m
+                    own[2] += e
                 # a cut at a random place leaves the ending of a beginning of the word
                 total = f + m + e
-                for i in range(1, len(word) + 1):
-                    part = word[max(0, i - 8) : i] if i > 8 else word[:i]
-                    for n in (1, 2, 3):
-                        key = ending_key(part, n) if i <= 8 else _digits.sub("0", part.lower())[-n:]
-                        sums.setdefault(key, np.zeros(5, np.int64))[3] += total
-            rows = [(k, *map(int, v[:4])) for k, v in sums.items()]
+                plain = "^" + word.lower()
+                if len(plain) == len(word) + 1 and not _digits.search(word):
+                    parts = (plain[max(0, i - n) : i] for i in range(2, len(plain) + 1) for n in (1, 2, 3))
+                else:
+                    parts = (ending_key(word[:i], n) if i <= 8 else _digits.sub("0", word[i - 8 : i].lower())[-n:] for i in range(1, len(word) + 1) for n in (1, 2, 3))
+                for key in parts:
+                    places[key] = places.get(key, 0) + total
+            rows = [(k, *closing.get(k, (0, 0, 0)), places.get(k, 0)) for k in {**places, **closing}]
             columns = list(zip(*rows)) if rows else [[]] * 5
             kinds = (pa.string(), *[pa.int64()] * 4)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=["key", "f", "m", "e", "t"])
