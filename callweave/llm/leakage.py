@@ -134,7 +134,7 @@ class ItemSet:
                 rare[:] = True
             self.sizes[i] = rare.sum()
             if self.sizes[i]:
-                for kept, values in zip(lists.setdefault(n, ([], [], [])), (hashes[rare], np.full(rare.sum(), i, dtype=np.int64), places[rare])):
+                for kept, values in zip(lists.setdefault(n, ([], [], [])), (hashes[rare], np.full(rare.sum(), i, dtype=np.int32), places[rare].astype(np.int32))):
                     kept.append(values)
         self.grams = [_Grams(n, *parts) for n, parts in lists.items()]
 
@@ -149,12 +149,17 @@ class ItemSet:
             return
         codes = codes_of(joined)
         at, item, place = (np.concatenate(parts) for parts in zip(*(g.hits(codes) for g in self.grams)))
+        if len(self.grams) > 1:
+            order = np.argsort(at, kind="stable")
+            at, item, place = at[order], item[order], place[order]
+        # hits rise already; numbers of 16 bits are sorted in one pass
+        order = np.argsort(item.astype(np.uint16) if len(self.ids) <= 1 << 16 else item, kind="stable")
+        at, item, place = at[order], item[order].astype(np.int64), place[order]
         text = np.searchsorted(ends, at, side="right")
         span = len(codes) + 1
-        order = np.argsort(item * span + at, kind="stable")
-        at, item, place, text = at[order], item[order], place[order], text[order]
         reach = np.maximum((self.lengths * PASSAGE).astype(np.int64), 1)
-        until = np.searchsorted(item * span + at, item * span + np.minimum(at + reach[item], ends[text] if len(text) else at), side="left")
+        keys = item * span
+        until = np.searchsorted(keys + at, keys + np.minimum(at + reach[item], ends[text] if len(text) else at), side="left")
         least = np.maximum(1, np.ceil(share * self.sizes)).astype(np.int64)
         dense = np.flatnonzero(until - np.arange(len(at)) >= least[item])
         if not len(dense):
