@@ -19,7 +19,11 @@ from .functions.numbers import generation_limit, time_limit, truncation_reason
 
 
 class Adapter(Protocol):
-    """load() is called once per worker; call(model, row) gives the output columns of a row or raises."""
+    """load() is called once per worker; call(model, row) gives the output columns of a row or raises.
+
+    An adapter may also have call_batch(model, rows), which gives them for all rows of a batch at once; where it raises,
+    the rows of the batch are called one by one, so that only those at fault fail.
+    """
 
     schema: str
 
@@ -55,13 +59,19 @@ def apply_model(df: DataFrame, adapter: Adapter, keep: tuple[str, ...] = ("file"
         if label not in _models:
             _models[label] = adapter.load()
         for pdf in batches:
-            out = []
-            for row in pdf.to_dict("records"):
-                base = {k: row[k] for k in keep}
+            rows, out = pdf.to_dict("records"), []
+            found = None
+            if hasattr(adapter, "call_batch"):
+                try:
+                    found = list(adapter.call_batch(_models[label], rows))
+                except Exception:  # told by the rows one by one
+                    found = None
+            for i, row in enumerate(rows):
+                base = {k: row[k] for k in keep} | dict.fromkeys(names)
                 try:
-                    out.append(base | dict.fromkeys(names) | adapter.call(_models[label], row) | {"error": None})
+                    out.append(base | (adapter.call(_models[label], row) if found is None else found[i]) | {"error": None})
                 except Exception as e:  # one row's failure is that row's result
-                    out.append(base | dict.fromkeys(names) | {"error": f"{type(e).__name__}: {e}"})
+                    out.append(base | {"error": f"{type(e).__name__}: {e}"})
             yield pd.DataFrame(out, columns=[*keep, *names, "error"])
 
     return df.mapInPandas(run, f"{kinds}, {adapter.schema}, error string")

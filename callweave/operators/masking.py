@@ -1,20 +1,24 @@
 """Masking of names and phone numbers that are known beforehand.
 
-The registry is a small list by contract (its size is checked), so it becomes a chain of literal replacements in one
-projection: no join, no Python.
+The registry is one document. Up to CHAIN_ENTRIES entries become a chain of literal replacements in one projection: no
+join, no Python. A longer registry is applied in the same order by a function on Arrow batches, which skips what a text
+doesn't hold; either way gives the same texts.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.text import PHONE_SHAPE, TAGS, phone_pattern
 
-MAX_ENTRIES = 2_000
+CHAIN_ENTRIES = 500
 #: Stand for the tags while names are replaced, and for themselves if a text holds them.
 _MARKS = {tag: chr(0xE000 + i) for i, tag in enumerate(TAGS.values())}
 _ESCAPE = chr(0xE003)
@@ -41,8 +45,6 @@ class Registry:
             values = document.get(field)
             if not isinstance(values, list):
                 raise RegistryError(f"{field} must be a list")
-            if len(values) > MAX_ENTRIES:
-                raise RegistryError(f"{field} has more than {MAX_ENTRIES} entries: mask with a join instead")
             if not all(isinstance(v, str) and v.strip() for v in values):
                 raise RegistryError(f"{field} must hold texts that aren't blank")
             entries[field] = [v.strip() for v in values]
@@ -72,6 +74,8 @@ def mask_known(text: Column, registry: Registry) -> Column:
     Replacements follow one another, so a shorter name may match what a longer one left. Names aren't replaced
     inside tags. A `+` before a number stays. Null stays null.
     """
+    if len(registry.names) + len(registry.phones) > CHAIN_ENTRIES:
+        return _masked_in_batches(registry)(text)
     out = text
     for digits, _ in sorted(registry.phones, key=lambda p: -len(p[0])):
         out = F.regexp_replace(out, phone_pattern(digits), TAGS["phone"])
@@ -90,6 +94,33 @@ def mask_known(text: Column, registry: Registry) -> Column:
     return out
 
 
+def _masked_in_batches(registry: Registry) -> Callable[[Column], Column]:
+    numbers = [(digits, re.compile(r"(?<!\d)" + r"[ \t().-]*".join(digits) + r"(?!\d)")) for digits, _ in sorted(registry.phones, key=lambda p: -len(p[0]))]
+    names = sorted(registry.names, key=lambda n: -len(n))
+    tags = re.compile("(" + "|".join(map(re.escape, TAGS.values())) + ")")
+    name_tag = TAGS["name"]
+
+    def masked(text: str | None) -> str | None:
+        if text is None:
+            return None
+        digits = "".join(str(int(c)) if c.isdecimal() else c for c in text if c not in " \t().-")
+        for number, pattern in numbers:
+            if number in digits:
+                text = pattern.sub(TAGS["phone"], text)
+        # tags stand apart, so that no name is found inside or across one
+        parts = tags.split(text)
+        for name in names:
+            if any(name in part for part in parts[::2]):
+                parts = [q for i, part in enumerate(parts) for q in ([part] if i % 2 else re.split("(" + re.escape(name_tag) + ")", part.replace(name, name_tag)))]
+        return "".join(parts)
+
+    @F.pandas_udf(StringType())
+    def in_batches(texts: pd.Series) -> pd.Series:
+        return texts.map(masked)
+
+    return in_batches
+
+
 def tag_counts(text: Column) -> dict[str, Column]:
     """How often each tag stands in a text."""
     return {kind: F.regexp_count(text, F.lit(re.escape(tag))) for kind, tag in TAGS.items()}

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,6 +32,21 @@ def test_phones_in_any_writing_but_not_inside_longer_numbers(spark):
     assert masked(spark, "+821012345678", phones=phones) == f"+{PHONE}"
 
 
+def test_long_registries_mask_alike(spark, monkeypatch):
+    rng = random.Random(9)
+    names = ["홍길동", "홍길", "동김", "이름", "이", "]홍", "가나다", "나다", "다", "a.b", "WX", "XYZ"]
+    phones = ["010-1234-5678", "1234-5678", "02 123 4567"]
+    registry = M.Registry.of({"schema_version": 1, "names": names, "phone_numbers": phones})
+    bits = [*names, *phones, *T.TAGS.values(), "01012345678", "(010) 1234.5678", "9", " ", "\n", "라", "٣"]
+    texts = [("".join(rng.choices(bits, k=rng.randint(0, 12))),) for _ in range(400)] + [(None,)]
+    df = spark.createDataFrame(texts, "t string")
+    chain = [r.m for r in df.select(M.mask_known(F.col("t"), registry).alias("m")).collect()]
+    monkeypatch.setattr(M, "CHAIN_ENTRIES", 0)
+    assert [r.m for r in df.select(M.mask_known(F.col("t"), registry).alias("m")).collect()] == chain
+    many = M.Registry.of({"schema_version": 1, "names": [f"이름{i}씨" for i in range(5000)], "phone_numbers": []})
+    assert df.sparkSession.createDataFrame([("이름4999씨 안녕",)], "t string").select(M.mask_known(F.col("t"), many).alias("m")).first().m == f"{NAME} 안녕"
+
+
 def test_masking_twice_changes_nothing(spark):
     once = masked(spark, "홍길동 010-1234-5678 홍길동", ["홍길동"], ["01012345678"])
     assert masked(spark, once, ["홍길동"], ["01012345678"]) == once

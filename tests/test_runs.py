@@ -207,3 +207,30 @@ def test_written_tables_are_removed(spark):
     assert os.path.isdir(path) and df.count() == 5 and path.startswith(urlparse(storage.shared_folder(spark)).path)
     storage.release()
     assert not os.path.exists(path)
+
+
+class InBatches:
+    """Takes batches; one that holds a blank text is refused."""
+
+    schema = "masked_text string"
+
+    def load(self):
+        return "m"
+
+    def call_batch(self, model, rows):
+        if any(not r["text"] for r in rows):
+            raise ValueError("blank in the batch")
+        return [{"masked_text": f"{model}{len(rows)}"} for _ in rows]
+
+    def call(self, model, row):
+        if not row["text"]:
+            raise ValueError("blank")
+        return {"masked_text": "one"}
+
+
+def test_batches_of_a_model_and_rows_at_fault(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y")], "file string, text string").coalesce(1)
+    assert {r.masked_text for r in models.apply_model(df, InBatches()).collect()} == {"m2"}
+    mixed = df.union(spark.createDataFrame([("c", "")], "file string, text string")).coalesce(1)
+    got = {r.file: (r.masked_text, r.error) for r in models.apply_model(mixed, InBatches()).collect()}
+    assert got["c"] == (None, "ValueError: blank") and got["a"][1] is None and got["b"][1] is None
