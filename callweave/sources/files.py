@@ -52,6 +52,32 @@ def wav_seconds(content: pd.Series) -> pd.Series:
     return content.map(seconds).astype("Float64")
 
 
+@F.pandas_udf(T.BinaryType())
+def crop_wav(content: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
+    """The piece of a WAV file between two times in seconds as a WAV file of its own; null if it can't be read or holds no frame.
+
+    Frames from the one at `start` up to the one at `end` are taken, as far as there are any.
+    """
+
+    def cropped(data: bytes | None, lo: float | None, hi: float | None) -> bytes | None:
+        try:
+            with wave.open(io.BytesIO(data)) as sound:
+                first, last = (min(max(round(t * sound.getframerate()), 0), sound.getnframes()) for t in (lo, hi))
+                sound.setpos(first)
+                frames = sound.readframes(max(0, last - first))
+                if not frames:
+                    return None
+                out = io.BytesIO()
+                with wave.open(out, "wb") as piece:
+                    piece.setparams(sound.getparams())
+                    piece.writeframes(frames)
+        except (wave.Error, EOFError, TypeError, ValueError):
+            return None
+        return out.getvalue()
+
+    return pd.Series([cropped(*row) for row in zip(content, start, end)])
+
+
 def texts(spark: SparkSession, root: str, suffix: str = ".txt") -> tuple[DataFrame, DataFrame]:
     """((file, text) exactly as stored, (file, error) of files that aren't UTF-8)."""
     raw = audio(spark, root, suffix).select("file", "content")

@@ -1,4 +1,5 @@
 import datetime
+import io
 import os
 import wave
 
@@ -234,3 +235,26 @@ def test_batches_of_a_model_and_rows_at_fault(spark):
     mixed = df.union(spark.createDataFrame([("c", "")], "file string, text string")).coalesce(1)
     got = {r.file: (r.masked_text, r.error) for r in models.apply_model(mixed, InBatches()).collect()}
     assert got["c"] == (None, "ValueError: blank") and got["a"][1] is None and got["b"][1] is None
+
+
+def test_pieces_of_wav_files(spark):
+    def sound(frames, rate=1000):
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setnchannels(1)
+            w.setsampwidth(2)
+            w.setframerate(rate)
+            w.writeframes(b"".join(i.to_bytes(2, "little") for i in range(frames)))
+        return out.getvalue()
+
+    rows = [(sound(2000), 0.5, 0.75), (sound(2000), 1.9, 9.0), (sound(2000), -1.0, 0.01), (sound(10), 5.0, 6.0), (b"no", 0.0, 1.0), (None, 0.0, 1.0), (sound(10), None, 1.0), (sound(10), 0.008, 0.002)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, c binary, s double, e double")
+    got = [r.p for r in df.select("i", files.crop_wav("c", "s", "e").alias("p")).orderBy("i").collect()]
+    lengths = []
+    for data in got:
+        if data is None:
+            lengths.append(None)
+            continue
+        with wave.open(io.BytesIO(data)) as w:
+            lengths.append((w.getnframes(), int.from_bytes(w.readframes(1), "little")))
+    assert lengths == [(250, 500), (100, 1900), (10, 0), None, None, None, None, None]
