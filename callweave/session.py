@@ -34,6 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """A table just read, by the columns in as many partitions as there are cores, if it lies in fewer.
+
+    For steps that work long on each row. A file of one row group is one task, whatever its size; tables of a size
+    that matters have more than enough, and aren't moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as `spark.checkpoint.dir` or the context's checkpoint folder names it.
 
