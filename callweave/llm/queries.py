@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 from ..storage import written
 from . import leakage, personal, repetition, shared_spans, splitting, tokenize, transcripts, truncation
 
@@ -24,26 +24,30 @@ def vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
     return public_tokenizers.path(name)
 
 
+def _scanned(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name), key)
+
+
 # --- 1: repetition inside a text ---
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = repetition.ledger(table(spark, sf_dir, "text_files"))
+    rows = repetition.ledger(_scanned(spark, sf_dir, "text_files", "file"))
     return repetition.apply_policy(rows, repetition.POLICIES[0]).select("file").distinct()
 
 
 def p1_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = repetition.ledger(table(spark, sf_dir, "text_files"))
+    rows = repetition.ledger(_scanned(spark, sf_dir, "text_files", "file"))
     return rows.select("file", *(F.col("measures")[i].alias(f"{r}_share") for i, r in enumerate(repetition.RULES)), "failed")
 
 
 def p1_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.ablation(repetition.ledger(table(spark, sf_dir, "text_files")))
+    return repetition.ablation(repetition.ledger(_scanned(spark, sf_dir, "text_files", "file")))
 
 
 def p1_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every policy says of every text, from one stored ledger."""
-    stored = written(repetition.ledger(table(spark, sf_dir, "text_files")))
+    stored = written(repetition.ledger(_scanned(spark, sf_dir, "text_files", "file")))
     judged = None
     for p in repetition.POLICIES:
         rows = repetition.apply_policy(stored, p).select("file", F.lit(p.name).alias("policy"), F.lit(p.version).alias("version"), "bits")
@@ -55,19 +59,19 @@ def p1_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.truncation(table(spark, sf_dir, "anonymization")).where("truncated").select("anon_id", "source")
+    return truncation.truncation(_scanned(spark, sf_dir, "anonymization", "anon_id")).where("truncated").select("anon_id", "source")
 
 
 def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.rates(truncation.truncation(table(spark, sf_dir, "anonymization")))
+    return truncation.rates(truncation.truncation(_scanned(spark, sf_dir, "anonymization", "anon_id")))
 
 
 def p2_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.evidence(truncation.truncation(table(spark, sf_dir, "anonymization")))
+    return truncation.evidence(truncation.truncation(_scanned(spark, sf_dir, "anonymization", "anon_id")))
 
 
 def p2_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.source_limits(truncation.measured(table(spark, sf_dir, "anonymization")).where("chars is not null"))
+    return truncation.source_limits(truncation.measured(_scanned(spark, sf_dir, "anonymization", "anon_id")).where("chars is not null"))
 
 
 # --- 3: splitting oversized texts ---
@@ -90,18 +94,18 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transcripts.speaker_turns(table(spark, sf_dir, "stt_timestamps")).select("file", "speaker", "start_ms").distinct()
+    return transcripts.speaker_turns(_scanned(spark, sf_dir, "stt_timestamps", "file")).select("file", "speaker", "start_ms").distinct()
 
 
 def p4_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transcripts.speaker_turns(table(spark, sf_dir, "stt_timestamps"), pause_quantile=0.95).distinct()
+    return transcripts.speaker_turns(_scanned(spark, sf_dir, "stt_timestamps", "file"), pause_quantile=0.95).distinct()
 
 
 # --- 6: personal information ---
 
 
 def _personal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return table(spark, sf_dir, "text_files"), table(spark, sf_dir, "anonymization_info"), table(spark, sf_dir, "registry")
+    return _scanned(spark, sf_dir, "text_files", "file"), table(spark, sf_dir, "anonymization_info"), table(spark, sf_dir, "registry")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,11 +131,11 @@ def p6_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokenize.encode_corpus(table(spark, sf_dir, "documents"), vocabulary())
+    return tokenize.encode_corpus(_scanned(spark, sf_dir, "documents", "doc_id"), vocabulary())
 
 
 def p7_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(F.struct("source", F.length("text").alias("chars")).alias("k"), "text")
+    documents = _scanned(spark, sf_dir, "documents", "doc_id").select(F.struct("source", F.length("text").alias("chars")).alias("k"), "text")
     counted = tokenize.encode_corpus(documents, vocabulary(), key="k")
     return counted.groupBy(F.col("k.source").alias("source")).agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("ids")).alias("tokens"), F.sum("k.chars").alias("chars"))
 
@@ -140,7 +144,7 @@ def p7_tokens_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return leakage.leaks(_scanned(spark, sf_dir, "documents", "doc_id"), table(spark, sf_dir, "eval_items"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +162,7 @@ def p8_in_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the passages of items."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.length("text").alias("before"))
+    documents = _scanned(spark, sf_dir, "documents", "doc_id").select("doc_id", "text", F.length("text").alias("before"))
     cleaned = leakage.without_passages(documents, _leaks(spark, sf_dir))
     return cleaned.select("doc_id", "text", (F.col("before") - F.length("text")).alias("removed"))
 
