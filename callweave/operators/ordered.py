@@ -39,17 +39,6 @@ def with_summary(df: DataFrame, summary: DataFrame, keys: Sequence[str], *column
     return df.join(right, same, "left").drop("_kb", *names)
 
 
-def first_after(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str) -> DataFrame:
-    """Adds the first non-null value of the rows behind."""
-    df = df.withColumn("_v", value)
-    # a frame that ends with the series is evaluated anew for each row; one that begins with it in reverse order isn't
-    local = F.last("_v", ignorenulls=True).over(inside(keys, *(F.col(o).desc() for o in order)).rowsBetween(Window.unboundedPreceding, -1))
-    blocks = df.groupBy(*keys, BLOCK).agg(F.min_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_own"))
-    carry = F.last("_own", ignorenulls=True).over(across(keys, False).rowsBetween(Window.unboundedPreceding, -1))
-    rows = with_summary(df.withColumn("_local", local), blocks, keys, carry.alias("_carry"))
-    return rows.withColumn(name, F.coalesce("_local", "_carry")).drop("_v", "_local", "_carry")
-
-
 def cumulative(df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str], step: Callable[[Column, Column], Column], name: str, step_name: str) -> DataFrame:
     """Adds `step_name`, the step of each row, and `name`, the sum of the steps up to it.
 

@@ -17,7 +17,7 @@ from ..functions import text as T
 from ..operators import intervals, lines, masking, quality, recovery, redaction, selection, speakers, timeline
 from ..session import shared_folder, table
 from ..sources import files, sinks
-from ..storage import remove_later, written
+from ..storage import remove_later
 
 
 def _ms(column: str):
@@ -323,7 +323,7 @@ def exit_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qc_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = written(mapped_words(spark, sf_dir))  # counted, and put together to turns
+    words = mapped_words(spark, sf_dir)
     final = lines.word_turns(words.select("file", "pos", "speaker", "start", "end", "word"))
     return quality.total_counters(quality.word_counters(words, final))
 
